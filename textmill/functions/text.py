@@ -64,12 +64,17 @@ def choose_text(field: Callable[[str], Column], bare: Column | None = None) -> C
     ``field(name)`` is the string value of a field, NULL when it is absent or no string.
     ``bare`` is the record itself when it is a string.
     """
-    direct = [F.when(strip(field(n)) != "", field(n)) for n in TEXT_FIELDS]
-    joined = F.concat_ws("\n", *[F.nullif(strip(field(n)), F.lit("")) for n in COMBINE_FIELDS])
-    choices = [*direct, F.nullif(joined, F.lit(""))]
-    if bare is not None:
-        choices.append(bare)
-    return F.coalesce(*choices, F.lit(""))
+    def usable(names, change=lambda x: x):
+        return F.filter(F.array(*[change(field(n)) for n in names]), lambda x: strip(x) != "")
+
+    first = F.get(usable(TEXT_FIELDS), F.lit(0))
+    joined = F.nullif(F.array_join(usable(COMBINE_FIELDS, strip), "\n"), F.lit(""))
+    return F.coalesce(first, joined, *([] if bare is None else [bare]), F.lit(""))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def variant_field(record: Column, name: str) -> Column:
@@ -79,7 +84,7 @@ def variant_field(record: Column, name: str) -> Column:
 
 def variant_string(value: Column) -> Column:
     """The value when it is a JSON string, else NULL (a plain cast would take numbers too)."""
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return let(value, lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
 def record_text(record: Column) -> Column:
@@ -89,36 +94,41 @@ def record_text(record: Column) -> Column:
 
 def float_repr(number: Column) -> Column:
     """A double as Python prints it, from the digits and exponent of Spark's own text."""
-    text = number.cast("string")
-    pattern = r"^-?(\d+)\.(\d+)(?:E(-?\d+))?$"
-    head = F.regexp_extract(text, pattern, 1)
-    tail = F.regexp_extract(text, pattern, 2)
-    tail = F.when(tail == "0", "").otherwise(tail)
-    written = F.regexp_extract(text, pattern, 3)
-    shift = F.when(written == "", 0).otherwise(written.cast("int"))
-    digits = F.concat(head, tail)
-    # point: digits before the decimal point in positional notation
-    point = F.char_length(head) + shift
-    spare = point - F.char_length(digits)
-    whole = F.concat(digits, F.repeat(F.lit("0"), spare), F.lit(".0"))
-    split = F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    science = F.concat(
-        head,
-        F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
-        F.when(shift < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(shift).cast("string"), F.greatest(F.lit(2), F.char_length(F.abs(shift).cast("string"))), F.lit("0")),
-    )
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    return (
-        F.when(F.isnan(number), "nan")
-        .when(F.abs(number) == float("inf"), F.concat(sign, F.lit("inf")))
-        .when(written == "", text)
-        .when((shift < -4) | (shift >= 16), F.concat(sign, science))
-        .when(shift < 0, F.concat(sign, small))
-        .when(spare >= 0, F.concat(sign, whole))
-        .otherwise(F.concat(sign, split))
-    )
+    pattern = r"^-?(\d+)\.(\d+)E(-?\d+)$"
+
+    def from_exponent(p: Column) -> Column:
+        head, tail, shift = p["head"], p["tail"], p["shift"]
+        digits = F.concat(head, tail)
+        point = F.char_length(head) + shift  # digits before the decimal point
+        exponent = F.abs(shift).cast("string")
+        science = F.concat(
+            head, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
+            F.when(shift < 0, "e-").otherwise("e+"),
+            F.lpad(exponent, F.greatest(F.lit(2), F.char_length(exponent)), F.lit("0")),
+        )
+        padded = F.rpad(digits, F.greatest(point, F.char_length(digits)), F.lit("0"))
+        fraction = F.substr(padded, point + 1)
+        return (
+            F.when((shift < -4) | (shift >= 16), science)
+            .when(shift < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+            .otherwise(F.concat(F.substr(padded, F.lit(1), point), F.lit("."),
+                                F.when(fraction == "", "0").otherwise(fraction)))
+        )
+
+    def from_text(text: Column) -> Column:
+        parts = F.struct(
+            F.regexp_extract(text, pattern, 1).alias("head"),
+            F.regexp_replace(F.regexp_extract(text, pattern, 2), "^0$", "").alias("tail"),
+            F.regexp_extract(text, pattern, 3).cast("int").alias("shift"),
+        )
+        return (
+            F.when(text == "NaN", "nan")
+            .when(text.endswith("Infinity"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+            .when(text.contains("E"), F.concat(F.regexp_extract(text, "^-?", 0), let(parts, from_exponent)))
+            .otherwise(text)
+        )
+
+    return let(number.cast("string"), from_text)
 
 
 def python_str(value: Column) -> Column:
@@ -126,18 +136,18 @@ def python_str(value: Column) -> Column:
 
     Nested values come out as JSON text, not as Python prints them.
     """
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    # 1.0 is kept as a decimal of scale 0; only integers too wide for a long are, too.
-    wide_integer = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
-    return (
-        F.when(value.isNull(), "")
-        .when(F.is_variant_null(value), "None")
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when((kind.startswith("DECIMAL") & ~wide_integer) | (kind == "DOUBLE"),
-              float_repr(F.try_variant_get(value, "$", "double")))
-        .otherwise(text)
-    )
+    def of(v: Column, kind: Column) -> Column:
+        # 1.0 is kept as a decimal of scale 0; only integers too wide for a long are, too.
+        wide_integer = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+        return (
+            F.when(F.is_variant_null(v), "None")
+            .when(kind == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
+            .when((kind.startswith("DECIMAL") & ~wide_integer) | (kind == "DOUBLE"),
+                  float_repr(F.try_variant_get(v, "$", "double")))
+            .otherwise(F.try_variant_get(v, "$", "string"))
+        )
+
+    return let(value, lambda v: F.when(v.isNull(), "").otherwise(let(F.schema_of_variant(v), lambda k: of(v, k))))
 
 
 def char_length(text: Column) -> Column:

@@ -328,8 +328,8 @@ def sql_mixed(rows: str, source: str, key: str) -> str:
     uniform = f"(CAST('0x' || substr(md5('{SEED}:' || {source} || ':' || k), 1, 8) AS BIGINT) + 1) / 4294967296.0"
     return f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY {source} ORDER BY {key}) - 1 AS k FROM {rows}),
 mixing AS (SELECT *, sum(CAST(floor(-ln({uniform}) * 1048576) AS BIGINT) + 1)
-  OVER (PARTITION BY {source} ORDER BY {key}) AS at FROM numbered),
-mixed_rows AS (SELECT *, row_number() OVER (ORDER BY at, {source}) - 1 AS place FROM mixing)"""
+  OVER (PARTITION BY {source} ORDER BY {key}) AS arrival FROM numbered),
+mixed_rows AS (SELECT *, row_number() OVER (ORDER BY arrival, {source}) - 1 AS place FROM mixing)"""
 
 
 @query(f"WITH {sql_mixed('documents', 'source', 'doc_id')} SELECT source, doc_id, place FROM mixed_rows")
@@ -642,16 +642,16 @@ def read_back(spark, path: str) -> DataFrame:
 def sql_built(order_by: str, rows: str) -> str:
     """``built``: status of every record of ``rows``, up to the byte budget."""
     return f"""texts AS (SELECT *, {sql_clean('text')} AS t FROM {rows}),
-status AS (SELECT {order_by} AS at, t, {sql_bytes('t')} AS b, CASE WHEN length(t) < {MIN_CHARS} THEN 'short'
+status AS (SELECT {order_by} AS seq, t, {sql_bytes('t')} AS b, CASE WHEN length(t) < {MIN_CHARS} THEN 'short'
   WHEN row_number() OVER (PARTITION BY t ORDER BY {order_by}) > 1 THEN 'repeat' ELSE 'kept' END AS s FROM texts),
-running AS (SELECT *, sum(CASE WHEN s = 'kept' THEN b ELSE 0 END) OVER (ORDER BY at) AS total FROM status),
+running AS (SELECT *, sum(CASE WHEN s = 'kept' THEN b ELSE 0 END) OVER (ORDER BY seq) AS total FROM status),
 built AS (SELECT * FROM running
-  WHERE at < coalesce((SELECT min(at) FROM running WHERE s = 'kept' AND total > {X.parse_size(BUDGET)}), 9e18))"""
+  WHERE seq < coalesce((SELECT min(seq) FROM running WHERE s = 'kept' AND total > {X.parse_size(BUDGET)}), 9e18))"""
 
 
 IN_TURN = f"""inputs AS (SELECT *, doc_id * 7 % 5 % {INPUTS} AS src_ord FROM documents),
 lined AS (SELECT *, row_number() OVER (ORDER BY src_ord, doc_id) AS line FROM inputs)"""
-PLACED = "SELECT row_number() OVER (ORDER BY at) - 1 AS place, t AS text FROM built WHERE s = 'kept'"
+PLACED = "SELECT row_number() OVER (ORDER BY seq) - 1 AS place, t AS text FROM built WHERE s = 'kept'"
 
 
 def built(spark, sf_dir, mix: bool) -> tuple[str, DataFrame]:

@@ -58,12 +58,11 @@ def _parts(uri: Column) -> Column:
     return F.split(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "/")
 
 
-def _keyed(df: DataFrame, file_class: int, pos: Column, *columns: Column) -> DataFrame:
+def _keyed(df: DataFrame, file_class: int, *columns: Column) -> DataFrame:
     return df.select(
         F.lit(file_class).alias("file_class"),
         _parts(F.col("_metadata.file_path")).alias("file_parts"),
         F.col("_metadata.file_block_start").alias("blk"),
-        pos.alias("pos"),
         *columns,
     )
 
@@ -110,7 +109,7 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
 def text_lines(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """One record per line, line ends cut (they are stripped later in any case)."""
     lines = _reader(spark, glob).text(path)
-    return _keyed(lines, file_class, F.monotonically_increasing_id(), F.col("value").alias("raw"))
+    return _keyed(lines, file_class, F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw"))
 
 
 _REPARSED = T.StructType(
@@ -148,15 +147,18 @@ def _parsed_lines(spark: SparkSession, path, glob: str | None, file_class: int)
     The line is parsed inside an array that ends in a marker, so that text after the record
     makes it malformed; a bare ``try_parse_json`` stops after the first value.
     """
-    keyed = text_lines(spark, path, glob, file_class).withColumn("raw", strip(F.col("raw")))
+    keyed = _keyed(_reader(spark, glob).text(path), file_class, strip(F.col("value")).alias("raw"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("raw"), F.lit(f',"{_END}"]')))
     parsed = keyed.where(F.col("raw") != "").withColumn("wrapped", wrapped)
     whole = (F.try_variant_get("wrapped", "$[1]", "string") == _END) & F.try_variant_get(
         "wrapped", "$[2]", "variant"
     ).isNull()
     record = F.when(whole, F.try_variant_get("wrapped", "$[0]", "variant"))
-    return parsed.withColumn("record", record).drop("wrapped").withColumn(
-        "again", _reparse(F.when(F.col("record").isNull(), F.col("raw")))
+    # The row number is made here because no filter is pushed below it: a filter on the record
+    # would otherwise parse every line once more.
+    return parsed.withColumn("record", record).select(
+        "file_class", "file_parts", "blk", F.monotonically_increasing_id().alias("pos"), "raw", "record",
+        _reparse(F.when(F.col("record").isNull(), F.col("raw"))).alias("again"),
     )
 
 
@@ -191,9 +193,8 @@ def json_file(spark: SparkSession, path: str, glob: str | None = None, file_clas
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     files = _keyed(
-        _reader(spark, glob).option("wholetext", True).text(path), file_class, F.lit(0).cast("long"),
-        strip(F.col("value")).alias("body"),
-    ).drop("pos")
+        _reader(spark, glob).text(path, wholetext=True), file_class, strip(F.col("value")).alias("body")
+    )
     whole = F.concat(F.lit('{"v":'), F.col("body"), F.lit(',"end":1}'))
     options = {"allowNonNumericNumbers": "false"}
 
@@ -224,7 +225,7 @@ def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_c
     def texts(df: DataFrame) -> DataFrame:
         strings = {f.name for f in df.schema.fields if f.dataType == T.StringType()}
         raw = choose_text(lambda n: F.col(f"`{n}`") if n in strings else F.lit(None).cast("string"))
-        return _keyed(df, file_class, F.col("_metadata.row_index"), raw.alias("raw"))
+        return _keyed(df, file_class, F.col("_metadata.row_index").alias("pos"), raw.alias("raw"))
 
     try:
         return texts(_reader(spark, glob).option("mergeSchema", True).parquet(path))
