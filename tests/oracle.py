@@ -62,7 +62,7 @@ def main() -> None:
         start = time.time()
         try:
             df = QUERIES[name](spark, sf_dir)
-            found = difference(df, ORACLES[name], sf_dir) if name in ORACLES else f"no SQL, {df.count()} rows"
+            found = difference(df, ORACLES[name], sf_dir) if name in ORACLES else f"no SQL, {len(df.collect())} rows"
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:1500]}"
         print(f"{name:24} {time.time() - start:6.2f}s {found or 'ok'}", flush=True)

@@ -6,7 +6,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -73,7 +73,11 @@ def choose_text(field: Callable[[str], Column], bare: Column | None = None) -> C
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it.
+
+    ``body`` must not use the variable of a ``let`` around it: Spark does not find such an
+    expression again when it is the argument of a Python function.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -136,18 +140,20 @@ def python_str(value: Column) -> Column:
 
     Nested values come out as JSON text, not as Python prints them.
     """
-    def of(v: Column, kind: Column) -> Column:
+    def of(p: Column) -> Column:
+        v, kind = p["value"], p["kind"]
         # 1.0 is kept as a decimal of scale 0; only integers too wide for a long are, too.
         wide_integer = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
         return (
-            F.when(F.is_variant_null(v), "None")
+            F.when(v.isNull(), "")
+            .when(F.is_variant_null(v), "None")
             .when(kind == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
             .when((kind.startswith("DECIMAL") & ~wide_integer) | (kind == "DOUBLE"),
                   float_repr(F.try_variant_get(v, "$", "double")))
             .otherwise(F.try_variant_get(v, "$", "string"))
         )
 
-    return let(value, lambda v: F.when(v.isNull(), "").otherwise(let(F.schema_of_variant(v), lambda k: of(v, k))))
+    return let(F.struct(value.alias("value"), F.schema_of_variant(value).alias("kind")), of)
 
 
 def char_length(text: Column) -> Column:
@@ -189,10 +195,12 @@ def parse_size(text: str | int | None) -> int:
     return int(float(number) * SIZE_UNITS[unit.upper()]) if unit else int(number)
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(StringType())
+def _nfkc(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
-        yield batch.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+        yield pa.array(
+            [None if t is None else unicodedata.normalize("NFKC", t) for t in batch.to_pylist()], pa.string()
+        )
 
 
 def nfkc(text: Column) -> Column:

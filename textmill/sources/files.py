@@ -19,7 +19,7 @@ import json
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,26 +119,26 @@ _REPARSED = T.StructType(
 )
 
 
-@F.pandas_udf(_REPARSED)
-def _reparse(lines: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(_REPARSED)
+def _reparse(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Second opinion on lines the JVM parser refused: malformed, over its size limits, NaN."""
     def only_string(value):
         return value if isinstance(value, str) else None
 
     def one(line):
         if line is None:
-            return (None,) * len(_REPARSED)
+            return None
         try:
             record = json.loads(line)
         except ValueError:
-            return (False,) + (None,) * (len(_REPARSED) - 1)
+            return {"valid": False}
         fields = record if isinstance(record, dict) else {}
-        return (True, only_string(record), str(fields.get("text", ""))) + tuple(
-            only_string(fields.get(name)) for name in RECORD_FIELDS
-        )
+        found = {"valid": True, "bare": only_string(record), "as_text": str(fields.get("text", ""))}
+        return found | {f"f{i}": only_string(fields.get(name)) for i, name in enumerate(RECORD_FIELDS)}
 
+    kind = pa.struct([("valid", pa.bool_())] + [(name, pa.string()) for name in _REPARSED.names[1:]])
     for batch in lines:
-        yield pd.DataFrame([one(line) for line in batch], columns=_REPARSED.names, dtype=object)
+        yield pa.array([one(line) for line in batch.to_pylist()], kind)
 
 
 def _parsed_lines(spark: SparkSession, path, glob: str | None, file_class: int) -> DataFrame:
