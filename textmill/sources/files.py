@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +90,7 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
         classes = F.array(F.lit(0))
     else:
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        name = F.element_at(_parts(F.col("path")), -1)
+        name = F.element_at(_parts(F.col("_metadata.file_path")), -1)
         classes = F.array_compact(F.array(*[
             F.when(name.startswith("wiki_") if glob == "wiki_*" else name.endswith(glob[1:]), F.lit(i))
             for i, glob in enumerate(CLASSES)
@@ -101,7 +102,8 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
         .when(name.endswith(".jsonl") | name.startswith("wiki_"), "jsonl")
     )
     return (
-        listed.select(F.explode(classes).alias("file_class"), _parts(F.col("path")).alias("file_parts"))
+        listed.select(F.explode(classes).alias("file_class"),
+                      _parts(F.col("_metadata.file_path")).alias("file_parts"))
         .withColumn("kind", kind)
     )
 
@@ -210,7 +212,7 @@ def json_file(spark: SparkSession, path: str, glob: str | None = None, file_clas
         F.when(first == "[", parsed("array<variant>"))
         .when(first == "{", F.coalesce(
             *[F.col(f"envelope.{k}") for k in ENVELOPE_KEYS], F.array(F.parse_json("body"))))
-        .otherwise(F.when(F.parse_json("body").isNull(), F.lit(None).cast("array<variant>")))
+        .otherwise(F.slice(F.array(F.parse_json("body")), 2, 1))  # a scalar: checked, holds no record
     )
     opened = files.withColumn("envelope", F.when(first == "{", parsed(f"struct<{lists}>")))
     return (
@@ -229,7 +231,7 @@ def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_c
 
     try:
         return texts(_reader(spark, glob).option("mergeSchema", True).parquet(path))
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
     # A name has different types in different files: the files of one schema are read together.
