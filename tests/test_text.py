@@ -12,9 +12,10 @@ from textmill.functions import text as X
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 　   ​"
+# Characters every Unicode version in use agrees on; the JVM's tables are older than Python's.
+SETTLED = st.characters(exclude_categories=["Cs"]).filter(lambda c: unicodedata.ucd_3_2_0.category(c) != "Cn")
 TEXTS = st.lists(
-    st.text(st.one_of(st.sampled_from(BLANKS), st.sampled_from("ab\"\\é中𐀀'1."),
-                      st.characters(exclude_categories=["Cs"])), max_size=30),
+    st.text(st.one_of(st.sampled_from(BLANKS), st.sampled_from("ab\"\\é中𐀀'1."), SETTLED), max_size=30),
     min_size=20, max_size=60,
 )
 
@@ -60,7 +61,7 @@ def test_nfkc_and_pretokens(spark, texts):
 def test_stable_characters_do_not_change():
     import regex
 
-    stable = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and regex.match(f"[{X.NFKC_STABLE}]", chr(c))]
+    stable = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and regex.match(X.NFKC_STABLE_TEXT.replace(r"\z", r"\Z"), chr(c))]
     assert len(stable) > 27_000
     assert all(unicodedata.normalize("NFKC", c) == c and not unicodedata.combining(c) for c in stable)
     rng = random.Random(1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import fresh_path
+from .workspace import fresh_path, spread
 
 # Documents in one JSON file.
 FILE_DOCS = 1_000
@@ -83,4 +83,4 @@ def jsonl_folder(df: DataFrame, path: str, value: Column, order: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))

@@ -143,60 +143,67 @@ def _reparse(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([one(line) for line in batch.to_pylist()], kind)
 
 
-def _parsed_lines(spark: SparkSession, path, glob: str | None, file_class: int) -> DataFrame:
-    """Non-blank lines with ``record`` (a variant) or, where the JVM refused, ``again``.
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in ORDER if c in df.columns and c != "pos"]
+
+
+def _line_scan(spark: SparkSession, path, glob: str | None = None, file_class: int = 0) -> DataFrame:
+    """Stripped non-blank lines, not numbered yet."""
+    lines = _keyed(_reader(spark, glob).text(path), file_class, strip(F.col("value")).alias("raw"))
+    return lines.where(F.col("raw") != "")
+
+
+def _parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines with ``record`` (a variant) or, where the JVM refused, ``again``.
 
     The line is parsed inside an array that ends in a marker, so that text after the record
     makes it malformed; a bare ``try_parse_json`` stops after the first value.
     """
-    keyed = _keyed(_reader(spark, glob).text(path), file_class, strip(F.col("value")).alias("raw"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("raw"), F.lit(f',"{_END}"]')))
-    parsed = keyed.where(F.col("raw") != "").withColumn("wrapped", wrapped)
     whole = (F.try_variant_get("wrapped", "$[1]", "string") == _END) & F.try_variant_get(
         "wrapped", "$[2]", "variant"
     ).isNull()
     record = F.when(whole, F.try_variant_get("wrapped", "$[0]", "variant"))
     # The row number is made here because no filter is pushed below it: a filter on the record
     # would otherwise parse every line once more.
-    return parsed.withColumn("record", record).select(
-        "file_class", "file_parts", "blk", F.monotonically_increasing_id().alias("pos"), "raw", "record",
+    return lines.withColumn("wrapped", wrapped).withColumn("record", record).select(
+        *_keys(lines), F.monotonically_increasing_id().alias("pos"), "raw", "record",
         _reparse(F.when(F.col("record").isNull(), F.col("raw"))).alias("again"),
     )
 
 
-def json_lines(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
-    """Tolerant JSON lines: blank and malformed lines are left out, any JSON value is a record."""
-    lines = _parsed_lines(spark, path, glob, file_class)
-    again = choose_text(
-        lambda n: F.col(f"again.f{RECORD_FIELDS.index(n)}"), F.col("again.bare")
-    )
+def _line_texts(lines: DataFrame) -> DataFrame:
+    """Tolerant reading of JSON lines."""
+    again = choose_text(lambda n: F.col(f"again.f{RECORD_FIELDS.index(n)}"), F.col("again.bare"))
     raw = F.when(F.col("record").isNotNull(), record_text(F.col("record"))).otherwise(again)
-    return (
-        lines.where(F.col("record").isNotNull() | F.col("again.valid"))
-        .select("file_class", "file_parts", "blk", "pos", raw.alias("raw"))
+    parsed = _parsed_lines(lines)
+    return parsed.where(F.col("record").isNotNull() | F.col("again.valid")).select(
+        *_keys(lines), "pos", raw.alias("raw")
     )
 
 
+def json_lines(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
+    """Tolerant JSON lines: blank and malformed lines are left out, any JSON value is a record."""
+    return _line_texts(_line_scan(spark, path, glob, file_class))
+
+
 def strict_json_lines(spark: SparkSession, path, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """JSON lines whose document is ``str(record["text"])``; a malformed line fails the job."""
-    lines = _parsed_lines(spark, path, glob, file_class)
+    lines = _line_scan(spark, path, glob, file_class)
     raw = (
         F.when(F.col("record").isNotNull(), python_str(variant_field(F.col("record"), "text")))
         .when(F.col("again.valid"), F.col("again.as_text"))
         .otherwise(F.raise_error(F.concat(F.lit("malformed JSON line: "), F.substr("raw", F.lit(1), F.lit(80)))))
     )
-    return lines.select("file_class", "file_parts", "blk", "pos", raw.alias("raw"))
+    return _parsed_lines(lines).select(*_keys(lines), "pos", raw.alias("raw"))
 
 
-def json_file(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
-    """Whole JSON files: the items of a list, of the first list under an envelope key, or the object.
+def _file_scan(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
+    return _keyed(_reader(spark, glob).text(path, wholetext=True), file_class, strip(F.col("value")).alias("body"))
 
-    Items become variants one by one, so only an item, not the file, has to fit a variant.
-    """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    files = _keyed(
-        _reader(spark, glob).text(path, wholetext=True), file_class, strip(F.col("value")).alias("body")
-    )
+
+def _file_texts(files: DataFrame) -> DataFrame:
+    files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     whole = F.concat(F.lit('{"v":'), F.col("body"), F.lit(',"end":1}'))
     options = {"allowNonNumericNumbers": "false"}
 
@@ -216,12 +223,19 @@ def json_file(spark: SparkSession, path: str, glob: str | None = None, file_clas
     )
     opened = files.withColumn("envelope", F.when(first == "{", parsed(f"struct<{lists}>")))
     return (
-        opened.select("file_class", "file_parts", "blk", F.posexplode(items).alias("pos", "record"))
-        .select("file_class", "file_parts", "blk", F.col("pos").cast("long").alias("pos"),
-                record_text(F.col("record")).alias("raw"))
+        opened.select(*_keys(files), F.posexplode(items).alias("pos", "record"))
+        .select(*_keys(files), F.col("pos").cast("long").alias("pos"), record_text(F.col("record")).alias("raw"))
     )
 
 
+def json_file(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
+    """Whole JSON files: the items of a list, of the first list under an envelope key, or the object.
+
+    Items become variants one by one, so only an item, not the file, has to fit a variant.
+    """
+    return _file_texts(_file_scan(spark, path, glob, file_class))
+
+
 def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """Parquet rows; only string columns with one of the known names are read."""
     def texts(df: DataFrame) -> DataFrame:
@@ -243,44 +257,51 @@ def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_c
     return reduce(DataFrame.unionByName, [texts(spark.read.parquet(*files)) for files in by_schema.values()])
 
 
-_READERS = {"jsonl": json_lines, "json": json_file, "txt": text_lines, "parquet": parquet_rows}
+# How each kind of file is scanned, and how the scanned rows become texts.
+_SCANS = {"jsonl": _line_scan, "json": _file_scan, "txt": text_lines, "parquet": parquet_rows}
+_EXTRACTS = {"jsonl": _line_texts, "json": _file_texts}
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame | None:
-    """All records of one file or directory as ``file_class, file_parts, blk, pos, raw``.
+def _scans(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
+    """Scans of one file or directory, each with its kind.
 
     A folder named ``*.jsonl`` is one JSON-lines file in parts, as the sink writes it.
     """
     if path.rstrip("/").endswith(".jsonl"):
-        return json_lines(spark, path)
+        return [("jsonl", _line_scan(spark, path))]
     if is_file(spark, path):
         kind = _kind(path.rsplit("/", 1)[-1])
-        return _READERS[kind](spark, path) if kind else None
+        return [(kind, _SCANS[kind](spark, path))] if kind else []
     present = input_files(spark, path).select("file_class", "kind").distinct().collect()
-    branches = []
+    found = []
     for file_class, kind in sorted((r.file_class, r.kind) for r in present):
         glob = CLASSES[file_class]
-        if glob == "wiki_*":
-            if kind == "jsonl":
-                lines = json_lines(spark, path, glob, file_class)
-                named = F.element_at("file_parts", -1)
-                branches.append(lines.where(~named.rlike(r"\.(json|txt|parquet)$")))
-                continue
-            glob = f"wiki_*.{kind}"
-        branches.append(_READERS[kind](spark, path, glob, file_class))
-    return reduce(DataFrame.unionByName, branches) if branches else None
+        if glob == "wiki_*" and kind == "jsonl":
+            named = F.element_at("file_parts", -1)
+            lines = _line_scan(spark, path, glob, file_class)
+            found.append((kind, lines.where(~named.rlike(r"\.(json|txt|parquet)$"))))
+        else:
+            found.append((kind, _SCANS[kind](spark, path, f"wiki_*.{kind}" if glob == "wiki_*" else glob, file_class)))
+    return found
 
 
 def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records of all inputs with the full order key; inputs that do not exist are skipped."""
-    found = []
+    """Records of all inputs with the full order key; inputs that do not exist are skipped.
+
+    Scans of a kind are put together before they are parsed, so the plan has one parser however
+    many inputs there are.
+    """
+    by_kind: dict[str, list[DataFrame]] = {}
     for number, path in enumerate(paths):
         if not path_exists(spark, path):
             print(f"skip missing: {path}")
             continue
-        source = read_source(spark, path)
-        if source is not None:
-            found.append(source.select(F.lit(number).alias("src_ord"), *ORDER[1:], "raw"))
+        for kind, scan in _scans(spark, path):
+            by_kind.setdefault(kind, []).append(scan.withColumn("src_ord", F.lit(number)))
+    found = []
+    for kind, scans in by_kind.items():
+        together = reduce(DataFrame.unionByName, scans)
+        found.append(_EXTRACTS.get(kind, lambda df: df)(together).select(*ORDER, "raw"))
     if not found:
         return spark.createDataFrame(
             [], "src_ord int, file_class int, file_parts array<string>, blk long, pos long, raw string"

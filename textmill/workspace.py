@@ -43,6 +43,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input to all cores.
+
+    A scan cannot cut a Parquet row group, so a few megabytes may arrive as one task and keep it
+    busy for long with text work. An input that fills the cores with full splits is left alone.
+    """
+    spark = df.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(tasks) if size < tasks * split else df
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the counted rows allow it, else leave the join to the planner.
 
