@@ -21,8 +21,8 @@ BUCKET_KEYS = 65_536
 
 
 def key_bucket(order: Column) -> Column:
-    """The bucket of a unique integer order key."""
-    return F.floor(order / BUCKET_KEYS).cast("long")
+    """The bucket of a unique integer order key: the first key it can hold."""
+    return order.cast("long") - F.pmod(order.cast("long"), F.lit(BUCKET_KEYS))
 
 
 def running_total(

@@ -16,6 +16,7 @@ operator that has to read the same row twice.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
@@ -294,7 +295,7 @@ def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
     by_kind: dict[str, list[DataFrame]] = {}
     for number, path in enumerate(paths):
         if not path_exists(spark, path):
-            print(f"skip missing: {path}")
+            print(f"skip missing: {path}", file=sys.stderr)
             continue
         for kind, scan in _scans(spark, path):
             by_kind.setdefault(kind, []).append(scan.withColumn("src_ord", F.lit(number)))
