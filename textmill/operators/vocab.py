@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import nfkc, pretokens
+from ..functions.text import let, nfkc, pretokens
 from ..workspace import stage
 
 # Special tokens in id order, and the roles of some of them.
@@ -24,7 +24,7 @@ PAD_ID = EOS_ID
 
 # Pairs looked at per round, and merges applied on top of a written word table.
 TOP_PAIRS = 2_000
-STAGE_AFTER = 48
+STAGE_AFTER = 24
 
 _FIRST_MERGED = 0x10000
 
@@ -55,7 +55,9 @@ def symbol_bytes(symbols: Column) -> Column:
 
 def pretoken_freq(df: DataFrame, text: str = "text") -> DataFrame:
     """``word, freq`` over the corpus."""
-    words = df.select(nfkc(F.col(text)).alias("_n")).select(F.explode(pretokens(F.col("_n"))).alias("word"))
+    normal = df.select(nfkc(F.col(text)).alias("_n"))
+    # The outer form: for the inner one Spark adds a filter that splits every text once more.
+    words = normal.select(F.explode_outer(pretokens(F.col("_n"))).alias("word")).where("word IS NOT NULL")
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
@@ -77,7 +79,7 @@ def pairs_of(sym: Column) -> Column:
 
 def pair_count(words: DataFrame) -> DataFrame:
     """``pair, n``: neighbouring symbols weighted by word frequency."""
-    pairs = words.select(F.explode(pairs_of(F.col("sym"))).alias("pair"), "freq")
+    pairs = words.select(F.explode_outer(pairs_of(F.col("sym"))).alias("pair"), "freq").where("pair IS NOT NULL")
     return pairs.groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
@@ -191,13 +193,14 @@ def updated_pairs(words: DataFrame, pairs: DataFrame, merges: list[tuple[str, st
     """Pair counts after ``merges``, from the counts before and the words that change."""
     if not merges:
         return pairs
-    new = merged(F.col("sym"), merges)
-    both = words.select("sym", "freq", new.alias("new")).select(F.inline(F.when(
-        F.col("new") != F.col("sym"),
-        F.array(F.struct(F.col("sym").alias("word"), (-F.col("freq")).alias("n")),
-                F.struct(F.col("new").alias("word"), F.col("freq").alias("n"))),
-    )))
-    delta = both.select(F.explode(pairs_of(F.col("word"))).alias("pair"), "n")
+    both = let(F.struct("sym", "freq", merged(F.col("sym"), merges).alias("new")), lambda w: F.when(
+        w["new"] != w["sym"],
+        F.array(F.struct(w["sym"].alias("word"), (-w["freq"]).alias("n")),
+                F.struct(w["new"].alias("word"), w["freq"].alias("n"))),
+    ))
+    # The outer form: for the inner one Spark adds a filter that computes the array once more.
+    changed = words.select(F.inline_outer(both)).where("word IS NOT NULL")
+    delta = changed.select(F.explode_outer(pairs_of(F.col("word"))).alias("pair"), "n").where("pair IS NOT NULL")
     return pairs.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
 
 
