@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, mixing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op3_mix_sources(spark, sf_dir):
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t FROM documents)
