@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +39,17 @@ FROM d WINDOW g AS (PARTITION BY t)
 """)
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_copies(documents(spark, sf_dir))
+
+
+def quality_model(docs: DataFrame, sf_dir: str) -> quality.Model:
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality.fit(docs, labels, ~quality.held_out(F.col("_id")))
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = quality.score(docs, quality_model(docs, sf_dir))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.KEEP_SCORE).cast("int").alias("predicted"))
