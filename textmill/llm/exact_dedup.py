@@ -29,6 +29,7 @@ _STATE_SETTINGS = {
     _STORE + "rocksdb.changelogCheckpointing.enabled": "true",
     _STORE + "rocksdb.boundedMemoryUsage": "true",
     _STORE + "rocksdb.maxMemoryUsageMB": "400",
+    _STORE + "rocksdb.allowFAllocate": "false",  # else each state partition reserves megabytes of disk it does not use
 }
 _ENTRY = "digest string, first struct<last: boolean, id: bigint, locator: string>, n bigint, batch int"
 

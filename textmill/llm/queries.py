@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality
+from . import exact_dedup, mixing, near_dedup, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,8 @@ def op8_quality(spark, sf_dir):
     return scored.select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= quality.KEEP_SCORE).cast("int").alias("predicted"))
+
+
+@query()
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_copies(documents(spark, sf_dir))
