@@ -126,9 +126,12 @@ def shard_counts(sources: DataFrame, slots: int, seed: int, shard_slots: int) ->
     return within.select("shard", "s", "got").unionByName(anew).groupBy("shard", "s").agg(F.sum("got").alias("n")).where("n > 0")
 
 
-def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 42) -> Mix:
+def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 42,
+        key: str | None = None) -> Mix:
+    """``key`` names a unique long column that identifies a row; without it rows are numbered."""
+    row = F.col(key) if key else F.monotonically_increasing_id()
     rows = stage(docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col("doc_id"), F.col("source").cast("string").alias("source"),
+        row.alias("_row"), F.col("doc_id"), F.col("source").cast("string").alias("source"),
         words_in(F.col("text")).alias("size")), "sizes")
     sources = stage(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
     blocks = F.ceil(F.col("source_size") / block_words)
@@ -169,3 +172,32 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
         .join(broadcast_if_small(sources), F.col("source").eqNullSafe(F.col("_source")))
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: for each pass over a source, every run of words taken
+    from a document is a row with its text (n_chars, if there, is its length).
+
+    A document that is taken whole keeps its text as it is.
+    """
+    ids = docs.select(F.col("doc_id").alias("k"))
+    keyed = docs.withColumn("_key", F.col("doc_id").cast("long"))
+    if ids.where("k IS NULL").limit(1).count() or ids.groupBy("k").count().where("count > 1").limit(1).count():
+        keyed = stage(docs.withColumn("_key", F.monotonically_increasing_id()), "numbered")
+    m = mix(keyed, key="_key", **options)
+    passes = m.slots.select("s", "block", "epoch").distinct()
+    parts = m.pieces.join(passes, ["s", "block"]).select("_row", "epoch", "start", (F.col("start") + F.col("words")).alias("end"))
+    order = Window.partitionBy("_row", "epoch").orderBy("start")
+    fresh = F.coalesce((F.lag("end").over(order) != F.col("start")).cast("int"), F.lit(1))
+    runs = parts.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
+    runs = runs.groupBy("_row", "epoch", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("epoch", "start", "end"))).alias("_runs"))
+    runs = runs.join(m.rows.select("_row", F.col("size").alias("_size")), "_row").withColumnRenamed("_row", "_key")
+    rows = keyed.join(runs, "_key").withColumn("_run", F.explode("_runs"))
+    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
+    start, end = F.col("_run.start"), F.col("_run.end")
+    some = F.array_join(F.slice(words, (start + 1).cast("int"), (end - start).cast("int")), "")
+    some = F.when(start > 0, F.regexp_replace(some, r"^[\x20\x09-\x0D]+", "")).otherwise(some)
+    text = F.when((start == 0) & (end == F.col("_size")), F.col("text")).otherwise(some)
+    new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, quality
+from . import exact_dedup, mixing, near_dedup, pieces, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -21,10 +21,26 @@ def query(sql: str | None = None):
     return register
 
 
+# Files of public tokenizers; another vocabulary is another path.
+PIECES = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op2_pieces(spark, sf_dir):
+    return pieces.round_trips(documents(spark, sf_dir), pieces.load(tokenizer_path(PIECES)))
+
+
 @query()
 def op3_mix_sources(spark, sf_dir):
     return mixing.taken_words(documents(spark, sf_dir))
