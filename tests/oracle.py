@@ -14,7 +14,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = ("documents", "conversations")
+TABLES = ("documents", "conversations", "embeddings")
 
 
 def normal(value):
