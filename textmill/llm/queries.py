@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, pieces, quality, token_counts, topk
+from . import exact_dedup, mixing, near_dedup, pieces, quality, repeats, token_counts, topk
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op5_top_k(spark, sf_dir):
 @query()
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), token_counts.load(tokenizer_path(BYTE_BPE)))
+
+
+@query()
+def op4_repeats(spark, sf_dir):
+    return repeats.without_repeats(documents(spark, sf_dir)).drop("kept")
