@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, pieces, quality, repeats, token_counts, topk
+from . import exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, repeats, surrogates, token_counts, topk
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,10 @@ PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+# The key of the surrogates; a real one comes from a secret store.
+SURROGATE_KEY = "textmill"
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -36,6 +40,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op1_line_dedup(spark, sf_dir):
+    return line_dedup.without_common_blocks(documents(spark, sf_dir)).drop("kept")
+
+
 @query()
 def op2_pieces(spark, sf_dir):
     return pieces.round_trips(documents(spark, sf_dir), pieces.load(tokenizer_path(PIECES)))
@@ -99,3 +108,8 @@ def op10_token_counts(spark, sf_dir):
 @query()
 def op4_repeats(spark, sf_dir):
     return repeats.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+@query()
+def op9_surrogates(spark, sf_dir):
+    return surrogates.pseudonymised(documents(spark, sf_dir), SURROGATE_KEY)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
+from .sizes import sent_if_small
 from .words import _BYTE, Slice, mixed, powers, slices
 
 LENGTH = 200
@@ -41,7 +42,6 @@ CONTEXT = 64  # bytes from the trigger on that choose where a phrase is looked a
 TRIGGER_BYTES = 8
 EVERY, EVERY_DENSE = 64, 32  # one position in so many triggers
 SORT_GROUP = 2_048  # entries of one context sorted in one place
-BROADCAST_BYTES = 48 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -123,11 +123,9 @@ def _parsed(length: int, context: int):
 
 
 def _lists(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per key with arrays of its rows; sent to all tasks if measured small, else joined by shuffle."""
+    """One row per key with an array of its rows; sent to all tasks if measured small, else joined by shuffle."""
     packed = stage(rows.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("found")), "lists")
-    width = 4 * len(columns) + 16
-    size = packed.agg(F.sum(F.size("found") * width + 64)).first()[0] or 0
-    return F.broadcast(packed) if size <= BROADCAST_BYTES else packed
+    return sent_if_small(packed, F.size("found") * (8 * len(columns) + 16) + 64)
 
 
 def _entry_texts(length: int):
