@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workspace import broadcast_if_small, fresh_path, stage
+from .sizes import unused
 
 # Rows of one group that meet the text of the row that stays in one place.
 SALT_ROWS = 512
@@ -144,15 +145,15 @@ def _differing(docs: DataFrame, hits: DataFrame, digest: Callable[[Column], Colu
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns and texts as they were."""
     names = docs.columns
+    id_, sha = unused("_id", docs), unused("_sha", docs)
     result = stage(exact_copies(docs), "copies")
-    classes = result.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
-        F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    classes = stage(classes.where(~F.col("_kept") | (F.col("_rows") > 1)), "not_single")
-    sha = sha256(normalised(docs["text"]))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
-    single = docs.join(broadcast_if_small(classes), same, "left_anti")
-    repeated = classes.where("_kept")
+    classes = result.groupBy(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha)).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    classes = stage(classes.where(~F.col("kept") | (F.col("rows") > 1)), "not_single")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (sha256(normalised(docs["text"])) == F.col(sha))
+    single = docs.join(broadcast_if_small(classes.select(id_, sha)), same, "left_anti")
+    repeated = classes.where("kept").select(id_, sha)
     if not repeated.limit(1).count():
         return single
-    ones = docs.join(broadcast_if_small(repeated), same).dropDuplicates(["_id", "_sha"]).select(*(docs[c] for c in names))
+    ones = docs.join(broadcast_if_small(repeated), same).dropDuplicates([id_, sha]).select(*names)
     return single.unionByName(ones)

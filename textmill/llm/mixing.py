@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.order import running_total
 from ..workspace import broadcast_if_small, stage
+from .sizes import unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -181,23 +182,28 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document that is taken whole keeps its text as it is.
     """
     ids = docs.select(F.col("doc_id").alias("k"))
-    keyed = docs.withColumn("_key", F.col("doc_id").cast("long"))
+    key = unused("_key", docs)
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
     if ids.where("k IS NULL").limit(1).count() or ids.groupBy("k").count().where("count > 1").limit(1).count():
-        keyed = stage(docs.withColumn("_key", F.monotonically_increasing_id()), "numbered")
-    m = mix(keyed, key="_key", **options)
+        keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    m = mix(keyed, key=key, **options)
     passes = m.slots.select("s", "block", "epoch").distinct()
     parts = m.pieces.join(passes, ["s", "block"]).select("_row", "epoch", "start", (F.col("start") + F.col("words")).alias("end"))
     order = Window.partitionBy("_row", "epoch").orderBy("start")
     fresh = F.coalesce((F.lag("end").over(order) != F.col("start")).cast("int"), F.lit(1))
     runs = parts.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
     runs = runs.groupBy("_row", "epoch", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("epoch", "start", "end"))).alias("_runs"))
-    runs = runs.join(m.rows.select("_row", F.col("size").alias("_size")), "_row").withColumnRenamed("_row", "_key")
-    rows = keyed.join(runs, "_key").withColumn("_run", F.explode("_runs"))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
-    start, end = F.col("_run.start"), F.col("_run.end")
-    some = F.array_join(F.slice(words, (start + 1).cast("int"), (end - start).cast("int")), "")
-    some = F.when(start > 0, F.regexp_replace(some, r"^[\x20\x09-\x0D]+", "")).otherwise(some)
-    text = F.when((start == 0) & (end == F.col("_size")), F.col("text")).otherwise(some)
-    new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    runs = runs.join(m.rows.select("_row", "size"), "_row")
+    runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("epoch", "start", "end", "size"))).alias("runs"))
+
+    run = F.col("run")
+    words = F.regexp_extract_all(F.col("row.text").cast("string"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
+    some = F.array_join(F.slice(words, (run["start"] + 1).cast("int"), (run["end"] - run["start"]).cast("int")), "")
+    some = F.when(run["start"] > 0, F.regexp_replace(some, r"^[\x20\x09-\x0D]+", "")).otherwise(some)
+    text = F.when((run["start"] == 0) & (run["end"] == run["size"]), F.col("row.text")).otherwise(some)
+    rows = keyed.select(F.col(key).alias("_row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.join(runs, "_row").select("row", F.explode("runs").alias("run")).select("row", text.alias("new"))
+    new = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import broadcast_if_small, stage
 from .components import components
+from .sizes import unused
 from .words import Slice, grams, mixed, slices, word_hashes, words
 
 SHINGLE = 5
@@ -261,5 +262,6 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with all their columns."""
-    dropped = stage(near_copies(docs).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return docs.join(broadcast_if_small(dropped), docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    name = unused("_dropped", docs)
+    dropped = stage(near_copies(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    return docs.join(broadcast_if_small(dropped), docs["doc_id"].cast("long") == F.col(name), "left_anti")

@@ -1,4 +1,4 @@
-"""Broadcast only what was measured."""
+"""Broadcast only what was measured; names that are free."""
 
 from __future__ import annotations
 
@@ -12,3 +12,11 @@ def sent_if_small(df: DataFrame, width: Column, limit: int = BROADCAST_BYTES) ->
     """Hint a broadcast if the sum of ``width`` (bytes of a row) over the written ``df`` is within ``limit``."""
     size = df.agg(F.sum(width)).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
