@@ -8,26 +8,7 @@ from tokenizers import Tokenizer
 
 from textmill.operators import order
 from textmill.plans import corpus, training
-from tests.test_text import cleaned
-from tests.test_tokens import plain_pretrain, plain_sft
-
-
-def sequential_build(texts, min_chars, budget, dedupe):
-    out, seen, counts, written = [], set(), [0, 0, 0], 0
-    for text in map(cleaned, texts):
-        if len(text) < min_chars:
-            counts[1] += 1
-        elif dedupe and text in seen:
-            counts[2] += 1
-        else:
-            seen.add(text)
-            size = len(json.dumps({"text": text}, ensure_ascii=False).encode()) + 1
-            if budget and written + size > budget:
-                break
-            written += size
-            counts[0] += 1
-            out.append(text)
-    return out, counts, written
+from tests.test_tokens import check_chat, check_document
 
 
 def put(path, texts):
@@ -45,34 +26,71 @@ def texts(docs):
     return [r.text for r in docs.orderBy("doc_id").collect()]
 
 
-@pytest.mark.parametrize("budget,dedupe", [(0, False), (0, True), (60_000, True), (60_000, False), (1, True)])
-def test_build(spark, texts, tmp_path, monkeypatch, budget, dedupe):
-    monkeypatch.setattr(order, "BUCKET_KEYS", 16)
-    put(tmp_path / "in/a.jsonl", texts[:50] + ["short", texts[3] + "  \r\n"])
-    put(tmp_path / "in/b.jsonl", texts[40:])
+A = ["alpha one", "abc", "beta  two \r\n", "alpha one"]
+B = ["gamma three", "\n beta  two"]
+LINE = {"alpha one": 22, "beta  two": 22, "gamma three": 24}  # bytes of the output lines
+# budget, dedupe: texts written, short ones and repeats met before the build ends
+BUILDS = {
+    (0, True): (["alpha one", "beta  two", "gamma three"], 1, 2),
+    (0, False): (["alpha one", "beta  two", "alpha one", "gamma three", "beta  two"], 1, 0),
+    (68, True): (["alpha one", "beta  two", "gamma three"], 1, 2),
+    (67, True): (["alpha one", "beta  two"], 1, 1),
+    (45, True): (["alpha one", "beta  two"], 1, 1),
+    (44, True): (["alpha one", "beta  two"], 1, 1),
+    (43, True): (["alpha one"], 1, 0),
+    (44, False): (["alpha one", "beta  two"], 1, 0),
+    (66, False): (["alpha one", "beta  two", "alpha one"], 1, 0),
+    (22, True): (["alpha one"], 1, 0),
+    (21, True): ([], 0, 0),
+}
+
+
+@pytest.mark.parametrize("budget,dedupe", list(BUILDS))
+def test_build(spark, tmp_path, monkeypatch, budget, dedupe):
+    monkeypatch.setattr(order, "BUCKET_KEYS", 2)
+    put(tmp_path / "in/a.jsonl", A)
+    put(tmp_path / "in/b.jsonl", B)
     report = corpus.build_corpus(spark, [str(tmp_path / "none"), str(tmp_path / "in")], str(tmp_path / "out"),
-                                 80, str(budget or ""), dedupe=dedupe).first()
-    wanted, counts, written = sequential_build(texts[:50] + ["short", texts[3] + "  \r\n"] + texts[40:], 80, budget, dedupe)
+                                 5, str(budget or ""), dedupe=dedupe).first()
+    wanted, short, repeated = BUILDS[budget, dedupe]
     assert read(tmp_path / "out") == wanted
-    assert [report.saved, report.skipped, report.duplicated] == counts and report.written_bytes == written
+    assert (report.saved, report.skipped, report.duplicated) == (len(wanted), short, repeated)
+    assert report.written_bytes == sum(LINE[t] for t in wanted)
+
+
+def built(spark, tmp_path, name, *parts, **options):
+    paths = [tmp_path / f"{name}-in{i}.jsonl" for i in range(len(parts))]
+    for path, part in zip(paths, parts):
+        put(path, part)
+    report = corpus.build_corpus(spark, list(map(str, paths)), str(tmp_path / name), 80, **options).first()
+    return read(tmp_path / name), report
+
+
+def test_build_of_documents(spark, texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_KEYS", 16)
+    parts = texts[:50] + ["short"], texts[40:]
+    every, all_of_it = built(spark, tmp_path, "every", *parts)
+    once, report = built(spark, tmp_path, "once", *parts, dedupe=True)
+    assert once == list(dict.fromkeys(every)) and report.duplicated == len(every) - len(once)
+    assert all_of_it.saved + all_of_it.skipped == len(texts) + 11 and all_of_it.skipped >= 1
+    some, report = built(spark, tmp_path, "some", *parts, dedupe=True, max_bytes="60000")
+    assert some == once[: len(some)] and len(some) < len(once)
+    size = [len(json.dumps({"text": t}, ensure_ascii=False).encode()) + 1 for t in once[: len(some) + 1]]
+    assert sum(size[:-1]) == report.written_bytes <= 60_000 < sum(size)
 
 
 def test_mixed_build(spark, texts, tmp_path):
-    put(tmp_path / "a.jsonl", texts[:150])
-    put(tmp_path / "b.jsonl", texts[100:])
-    inputs = [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")]
-    report = corpus.build_corpus(spark, inputs, str(tmp_path / "out"), 80, mix=True, seed=7).first()
-    got = read(tmp_path / "out")
-    long = [[t for t in map(cleaned, part) if len(t) >= 80] for part in (texts[:150], texts[100:])]
+    parts = texts[:150], texts[100:]
+    long = [built(spark, tmp_path, f"part{i}", part)[0] for i, part in enumerate(parts)]
+    got, report = built(spark, tmp_path, "mixed", *parts, mix=True, seed=7)
     assert sorted(got) == sorted(long[0] + long[1]) and report.saved == len(got)
     once = [[t for t in part if long[0].count(t) + long[1].count(t) == 1] for part in long]
     for part in once:  # each input keeps its order, and they are interleaved
         assert [t for t in got if t in set(part)] == part
     assert [t for t in got if t in set(once[0] + once[1])] != once[0] + once[1]
-    corpus.build_corpus(spark, inputs, str(tmp_path / "again"), 80, mix=True, seed=7)
-    assert read(tmp_path / "again") == got
+    assert built(spark, tmp_path, "again", *parts, mix=True, seed=7)[0] == got
     # the output of one build is an input of the next
-    assert corpus.build_corpus(spark, [str(tmp_path / "out")], str(tmp_path / "out2.jsonl"), 0).first().saved == len(got)
+    assert corpus.build_corpus(spark, [str(tmp_path / "mixed")], str(tmp_path / "out2.jsonl"), 0).first().saved == len(got)
 
 
 def test_empty_inputs(spark, tmp_path):
@@ -80,14 +98,14 @@ def test_empty_inputs(spark, tmp_path):
     assert (report.saved, report.skipped, report.duplicated, report.written_bytes) == (0, 0, 0, 0)
 
 
-def test_wiki(spark, texts, tmp_path):
-    for n, part in enumerate((texts[:30], texts[30:60])):
-        put(tmp_path / f"in/A{n}/wiki_00", part)
-    long = [t for t in map(cleaned, texts[:60]) if len(t) >= 80]
-    assert corpus.prepare_wiki(spark, str(tmp_path / "in"), str(tmp_path / "all.jsonl")).first().saved == len(long)
-    assert read(tmp_path / "all.jsonl") == long
-    corpus.prepare_wiki(spark, str(tmp_path / "in"), str(tmp_path / "some.jsonl"), max_docs=7, dictionary={"e": "E"})
-    assert read(tmp_path / "some.jsonl") == [t.replace("e", "E") for t in long[:7]]
+def test_wiki(spark, tmp_path):
+    put(tmp_path / "in/A0/wiki_00", ["first page ", "tiny", "second page"])
+    put(tmp_path / "in/A1/wiki_00", ["third\r\npage", "second page"])
+    wanted = ["first page", "second page", "third\npage", "second page"]
+    assert corpus.prepare_wiki(spark, str(tmp_path / "in"), str(tmp_path / "all.jsonl"), min_chars=10).first().saved == 4
+    assert read(tmp_path / "all.jsonl") == wanted
+    corpus.prepare_wiki(spark, str(tmp_path / "in"), str(tmp_path / "some.jsonl"), min_chars=10, max_docs=3, dictionary={"e": "E"})
+    assert read(tmp_path / "some.jsonl") == ["first pagE", "sEcond pagE", "third\npagE"]
 
 
 @pytest.mark.parametrize("ranks,epochs", [(1, 1), (3, 2)])
@@ -101,8 +119,9 @@ def test_feeds(spark, texts, tmp_path, ranks, epochs):
 
     training.pretrain_feed(spark, str(tmp_path / "t/c.jsonl"), vocab, str(tmp_path / "f"), 32, ranks, epochs)
     rows = spark.read.parquet(str(tmp_path / "f")).collect()
-    wanted = [plain_pretrain(ids(t.strip()), 32) for t in texts[:40]]
-    assert {r.row: (r.input_ids, r.labels) for r in rows} == dict(enumerate(wanted))
+    assert {r.row for r in rows} == set(range(40))
+    for r in rows:
+        check_document(ids(texts[r.row].strip()), r.input_ids, r.labels, 32)
     per = -(-40 // ranks)
     assert sorted((r.epoch, r.rank, r.place) for r in rows) == [
         (e, k, p) for e in range(epochs) for k in range(ranks) for p in range(per)]
@@ -111,6 +130,7 @@ def test_feeds(spark, texts, tmp_path, ranks, epochs):
     (tmp_path / "chat.jsonl").write_text("\n".join(json.dumps(c) for c in chats + [{"messages": []}]))
     training.sft_feed(spark, str(tmp_path / "chat.jsonl"), vocab, str(tmp_path / "g"), 64, ranks, epochs)
     rows = spark.read.parquet(str(tmp_path / "g")).collect()
-    wanted = [plain_sft([(m["role"], ids(f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n")) for m in c["messages"]], 64)
-              for c in chats]
-    assert {r.row: (r.input_ids, r.labels) for r in rows} == dict(enumerate(wanted))
+    assert {r.row for r in rows} == set(range(20))
+    for r in rows:
+        turns = [(m["role"], ids(f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n")) for m in chats[r.row]["messages"]]
+        check_chat(turns, r.input_ids, r.labels, 64)

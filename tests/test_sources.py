@@ -80,6 +80,10 @@ def test_strict_lines(spark, tmp_path):
     put(tmp_path, {"wiki_c": '{"text": "cut'})
     with pytest.raises(Exception, match="malformed JSON line"):
         files.wiki_shards(spark, str(tmp_path)).collect()
+    for i, bad in enumerate(("5", '"str"', "null", "[1]", '{"text": 1} tail', '{"v": NaN} x')):
+        put(tmp_path, {f"bad{i}/wiki_a": bad})
+        with pytest.raises(Exception, match="malformed JSON line"):
+            files.wiki_shards(spark, str(tmp_path / f"bad{i}")).collect()
 
 
 ENVELOPES = {
@@ -90,6 +94,8 @@ ENVELOPES = {
     "e": ('{"text": "solo"}', ["solo"]),
     "f": ('{"data": []}', []),
     "g": ("3", []), "h": ('"text"', []), "i": (' \n[{"text": "x", "text": "y"}]\n', ["y"]), "j": ("[]", []), "k": ("{}", [""]),
+    "l": ('[{"text": "x"}, NaN]', ["x", ""]), "m": ('[NaN, {"text": "x"}]', ["", "x"]), "n": ('{"data": [{"text": "q", "v": NaN}, 1]}', ["q", ""]),
+    "o": ('{"data": "whole", "v": Infinity}', ["whole"]), "p": ("NaN", []), "q": ('[{"content": "x", "content": "y"}]', ["y"]),
 }
 
 
@@ -97,14 +103,17 @@ def test_json_files(spark, tmp_path):
     put(tmp_path, {f"{n}.json": c for n, (c, _) in ENVELOPES.items()})
     got = in_order(files.json_file(spark, str(tmp_path), "*.json"))
     assert got == [t for _, texts in ENVELOPES.values() for t in texts]
-    for bad in ('[{"text": "x"}', '[1] x', "{", "nope"):
+    for bad in ('[{"text": "x"}', '[1] x', "{", "nope", "3 tail", '"x" y', "[NaN] 1", "{} {}"):
         put(tmp_path, {"bad/x.json": bad})
-        with pytest.raises(Exception):
+        with pytest.raises(Exception, match="malformed JSON file"):
             files.json_file(spark, str(tmp_path / "bad"), "*.json").collect()
 
 
 def test_json_file_over_the_size_of_one_value(spark, tmp_path):
     put(tmp_path, {"big.json": json.dumps([{"text": "x" * 1_000_000, "n": i} for i in range(40)])})
+    put(tmp_path, {"long.json": json.dumps([{"text": "y" * 21_000_000}, {"text": "z"}])})
+    got = files.json_file(spark, str(tmp_path / "long.json")).select("pos", F.length("raw").alias("n")).orderBy("pos").collect()
+    assert [r.n for r in got] == [21_000_000, 1]
     rows = files.json_file(spark, str(tmp_path / "big.json")).agg(F.count("*"), F.sum(F.length("raw"))).first()
     assert tuple(rows) == (40, 40_000_000)
 
@@ -135,6 +144,33 @@ def test_samples(spark, tmp_path):
         [system, ("user", ""), ("assistant", "")]]
 
 
+CONTENTS = [  # content as JSON and as the sample has it
+    ("null", "None"), ("1.0", "1.0"), ("true", "True"), ("false", "False"), ("2", "2"), ("1e20", "1e+20"), ("NaN", "nan"), ('" s "', " s "), ('""', "")]
+
+
+def test_chat_contents_follow_python(spark, tmp_path):
+    lines = [f'{{"messages": [{{"role": "user", "content": {c}}}]}}' for c, _ in CONTENTS]
+    lines += ['{"human": "first", "human": "last", "output": NaN}', json.dumps({"instruction": "q" * 20_100_000})]
+    put(tmp_path, {"c.jsonl": "\n".join(lines)})
+    got = samples.chat_samples(spark, str(tmp_path / "c.jsonl")).orderBy("pos").collect()
+    assert [tuple(r.messages[0]) for r in got[: len(CONTENTS)]] == [("user", s) for _, s in CONTENTS]
+    assert [m.content for m in got[-2].messages[1:]] == ["last", "nan"]
+    assert [len(m.content) for m in got[-1].messages[1:]] == [20_100_000, 0]
+
+
+def test_broken_chats_fail(spark, tmp_path):
+    for i, bad in enumerate((
+            '{"instruction": "i"} tail', '{"instruction": "i"}{"a": 1}', "[1]", "5", '"s"', "null", '{"messages": "abc"}',
+            '{"messages": {"a": 1}}', '{"messages": 7}', '{"messages": [5]}', '{"messages": [{"role": "user"}]}',
+            '{"messages": [{"content": NaN}]}', '{"messages": true}')):
+        put(tmp_path, {f"{i}.jsonl": bad})
+        with pytest.raises(Exception, match="not a chat sample"):
+            samples.chat_samples(spark, str(tmp_path / f"{i}.jsonl")).collect()
+    for i, none in enumerate(("[]", "{}", '""', "0", "0.0", "false", "null")):
+        put(tmp_path, {f"n{i}.jsonl": f'{{"messages": {none}, "instruction": "x"}}'})
+        assert samples.chat_samples(spark, str(tmp_path / f"n{i}.jsonl")).collect() == []
+
+
 def leftmost_longest(text, table):
     out, i = "", 0
     while i < len(text):

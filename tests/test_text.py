@@ -25,8 +25,14 @@ def column(spark, values, expression):
     return [r.x for r in df.select("i", expression(F.col("s")).alias("x")).orderBy("i").collect()]
 
 
-def cleaned(text):
-    return "\n".join(p for p in (q.strip() for q in text.replace("\r\n", "\n").replace("\r", "\n").split("\n")) if p)
+CLEAN = {
+    "": "", " \t ": "", "one": "one", " one \n": "one", "a\r\nb": "a\nb", "a\rb\r": "a\nb", "a\n\n \n\tb  c ": "a\nb  c",
+    "\u3000a\xa0\n\u2003\x85b": "a\nb", "a\x1cb": "a\x1cb", "\u200ba": "\u200ba", "\n\r\n\r": "", "é \r\n中": "é\n中",
+}
+
+
+def test_clean(spark):
+    assert column(spark, list(CLEAN), X.clean_text) == list(CLEAN.values())
 
 
 def test_spaces_are_those_of_python():
@@ -37,7 +43,10 @@ def test_spaces_are_those_of_python():
 @given(TEXTS)
 def test_strip_clean_and_sizes(spark, texts):
     assert column(spark, texts, X.strip) == [t.strip() for t in texts]
-    assert column(spark, texts, X.clean_text) == [cleaned(t) for t in texts]
+    clean = column(spark, texts, X.clean_text)
+    assert ["".join(c.split()) for c in clean] == ["".join(t.split()) for t in texts]  # nothing but blanks goes
+    assert all(line and line == line.strip() for c in clean if c for line in c.split("\n")) and not any("\r" in c for c in clean)
+    assert column(spark, clean, X.clean_text) == clean
     assert column(spark, texts, X.char_length) == [len(t) for t in texts]
     lines = [json.dumps({"text": t}, ensure_ascii=False) + "\n" for t in texts]
     assert column(spark, texts, X.row_bytes) == [len(line.encode()) for line in lines]
@@ -112,5 +121,5 @@ def test_cleaning_runs_on_a_stream(spark, docs, tmp_path):
     out = stream.select(X.clean_text(F.col("text")).alias("t")).where(X.char_length(F.col("t")) >= 80)
     query = out.writeStream.format("memory").queryName("cleaned").trigger(availableNow=True).start()
     query.awaitTermination(60)
-    wanted = [cleaned(r.text) for r in docs.collect()]
-    assert sorted(r.t for r in spark.table("cleaned").collect()) == sorted(t for t in wanted if len(t) >= 80)
+    at_once = docs.select(X.clean_text(F.col("text")).alias("t")).where(X.char_length(F.col("t")) >= 80)
+    assert sorted(r.t for r in spark.table("cleaned").collect()) == sorted(r.t for r in at_once.collect())

@@ -3,18 +3,16 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers, trainers
+from tokenizers import Tokenizer, trainers
 
 from textmill.functions.chat import render_chat
 from textmill.operators import encode as E
 from textmill.operators import vocab as V
 
 
-def library(texts, size):
-    tok = Tokenizer(models.BPE(unk_token="<unk>"))
-    tok.normalizer = normalizers.NFKC()
-    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
-    tok.decoder = decoders.ByteLevel()
+def library(ours, texts, size):
+    """The engine's own tokenizer file, trained anew by the public library."""
+    tok = Tokenizer.from_str(ours.tokenizer_json())
     tok.train_from_iterator(texts, trainers.BpeTrainer(
         vocab_size=size, special_tokens=list(V.SPECIAL_TOKENS), min_frequency=2, show_progress=False))
     return tok
@@ -36,7 +34,7 @@ def random_words(seed):
 @pytest.mark.parametrize("texts,size", [(RUNS, 200), (random_words(1), 90), (random_words(2), 60)])
 def test_training_equals_the_library(spark, texts, size):
     ours = V.train_bpe(V.pretoken_freq(table(spark, texts)), size)
-    theirs = json.loads(library(texts, size).to_str())["model"]
+    theirs = json.loads(library(ours, texts, size).to_str())["model"]
     assert ours.tokens == sorted(theirs["vocab"], key=theirs["vocab"].get)
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in theirs["merges"]]
     assert [(ours.tokens[a], ours.tokens[b]) for a, b, _ in ours.merges] == merges
@@ -45,7 +43,8 @@ def test_training_equals_the_library(spark, texts, size):
 @pytest.fixture(scope="module")
 def trained(spark, docs):
     few = docs.where("doc_id < 60")
-    return V.train_bpe(V.pretoken_freq(few), 260), library([r.text for r in few.orderBy("doc_id").collect()], 260)
+    ours = V.train_bpe(V.pretoken_freq(few), 260)
+    return ours, library(ours, [r.text for r in few.orderBy("doc_id").collect()], 260)
 
 
 def test_training_on_documents(spark, trained, monkeypatch, docs):
@@ -94,34 +93,57 @@ def test_save_and_load(spark, trained, tmp_path):
     assert Tokenizer.from_str(text).get_vocab_size() == 260
 
 
-def plain_pretrain(ids, length):
-    seq = ([1] + ids[:max(1, length - 2)] + [2])[:length + 1]
-    seq += [2] * (length + 1 - len(seq))
-    return seq[:-1], [-100 if v == 2 else v for v in seq[1:]]
-
-
-def plain_sft(messages, length):
-    ids, labels = [1], [-100]
-    for role, part in messages:
-        part = part[:length + 1]
-        ids += part
-        labels += part if role == "assistant" else [-100] * len(part)
-    ids, labels = (ids + [2])[:length + 1], (labels + [2])[:length + 1]
-    ids, labels = ids + [2] * (length + 1 - len(ids)), labels + [-100] * (length + 1 - len(labels))
-    return ids[:-1], labels[1:]
-
-
-@pytest.mark.parametrize("length", [1, 2, 3, 4, 8, 16])
+def check_document(ids, inputs, labels, length):
+    """What every document sample has: begin, the head of the text, end marks, labels one place ahead."""
+    assert len(inputs) == len(labels) == length and inputs[0] == 1
+    assert all(y in (-100, x) and (y == -100) == (x == 2) for x, y in zip(inputs[1:], labels))
+    body = inputs[1:]
+    while body and body[-1] == 2:
+        body = body[:-1]
+    assert body == ids[: len(body)] and (len(body) == len(ids) or len(body) >= length - 2)
+
+
+def check_chat(turns, inputs, labels, length):
+    """Labels are the next ids inside assistant turns, and the end mark of a chat that fits."""
+    assert len(inputs) == len(labels) == length and inputs[0] == 1
+    place = 1
+    for role, part in turns:
+        for x in part[: max(0, length - place)]:
+            assert inputs[place] == x and labels[place - 1] == (x if role == "assistant" else -100)
+            place += 1
+    rest = length - place
+    assert inputs[place:] == [2] * rest and (not rest or labels[place - 1 :] == [2] + [-100] * rest)
+
+
+# length, ids: inputs and labels
+DOCUMENTS = [
+    (1, [], [1], [-100]), (1, [7], [1], [7]), (1, [7, 8], [1], [7]),
+    (2, [], [1, 2], [-100, -100]), (2, [7, 8], [1, 7], [7, -100]),
+    (3, [7], [1, 7, 2], [7, -100, -100]), (3, [7, 8], [1, 7, 2], [7, -100, -100]),
+    (4, [], [1, 2, 2, 2], [-100] * 4), (4, [7, 8], [1, 7, 8, 2], [7, 8, -100, -100]),
+    (4, [5, 6, 7, 8, 9], [1, 5, 6, 2], [5, 6, -100, -100]),
+    (6, [2, 3, 2], [1, 2, 3, 2, 2, 2], [-100, 3, -100, -100, -100, -100]),
+    (6, [9, 9, 9, 9], [1, 9, 9, 9, 9, 2], [9, 9, 9, 9, -100, -100]),
+]
+CHATS = [
+    (1, [], [1], [2]), (1, [("assistant", [7, 8])], [1], [7]), (1, [("user", [7, 8])], [1], [-100]),
+    (3, [], [1, 2, 2], [2, -100, -100]), (3, [("user", [5, 6])], [1, 5, 6], [-100, -100, 2]),
+    (4, [("user", [5] * 30), ("assistant", [6])], [1, 5, 5, 5], [-100] * 4),
+    (4, [("assistant", [5, 6, 7, 8, 9])], [1, 5, 6, 7], [5, 6, 7, 8]),
+    (8, [("system", [5]), ("user", [6, 6]), ("assistant", [7, 8, 9])], [1, 5, 6, 6, 7, 8, 9, 2], [-100, -100, -100, 7, 8, 9, 2, -100]),
+]
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 4, 6, 8])
 def test_layouts(spark, length):
-    lists = [[], [7], [7, 8], list(range(5, 12)), [2, 3, 2], list(range(5, 40)), [9] * length]
-    df = spark.createDataFrame(list(enumerate(lists)), "i int, ids array<int>")
+    cases = [c[1:] for c in DOCUMENTS if c[0] == length]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, ids array<int>")
     got = [tuple(r.s) for r in df.select("i", E.pretrain_sample(F.col("ids"), length).alias("s")).orderBy("i").collect()]
-    assert got == [plain_pretrain(ids, length) for ids in lists]
-    chats = [[], [("user", [5, 6, 7])], [("system", [5]), ("user", [6, 6]), ("assistant", [7, 8, 9])],
-             [("assistant", list(range(5, 30))), ("user", [6])], [("user", [5] * 30), ("assistant", [6])]]
-    df = spark.createDataFrame(list(enumerate(chats)), "i int, m array<struct<role:string,ids:array<int>>>")
+    assert got == [tuple(c[1:]) for c in cases]
+    cases = [c[1:] for c in CHATS if c[0] == length]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, m array<struct<role:string,ids:array<int>>>")
     got = [tuple(r.s) for r in df.select("i", E.sft_sample(F.col("m"), length).alias("s")).orderBy("i").collect()]
-    assert got == [plain_sft(c, length) for c in chats]
+    assert got == [tuple(c[1:]) for c in cases]
 
 
 @pytest.mark.parametrize("length", [1, 5, 40, 300])
@@ -133,10 +155,10 @@ def test_chats_from_turns_and_from_arrays(spark, trained, length):
     turns = spark.createDataFrame([(c, t * 3, *m) for c, ms in chats.items() for t, m in enumerate(ms)],
                                   "conv_id int, turn int, role string, text string").repartition(7)
     enc = E.encoder(spark, ours)
-    wanted = {c: plain_sft([(r, theirs.encode(f"<|im_start|>{r}\n{x}<|im_end|>\n", add_special_tokens=False).ids)
-                            for r, x in ms], length) for c, ms in chats.items()}
     got = {r.conv_id: (r.input_ids, r.labels) for r in E.encode_turns(turns, enc, length).collect()}
-    assert got == wanted
+    for c, ms in chats.items():
+        check_chat([(r, theirs.encode(f"<|im_start|>{r}\n{x}<|im_end|>\n", add_special_tokens=False).ids) for r, x in ms], *got[c], length)
+    wanted = got
     arrays = spark.createDataFrame([(c, ms) for c, ms in chats.items()],
                                    "conv_id int, messages array<struct<role:string,content:string>>")
     got = {r.conv_id: (r.input_ids, r.labels) for r in E.encode_chats(arrays, enc, length).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,20 +33,43 @@ def instruction_messages(instruction: Column, extra: Column, output: Column) ->
     )
 
 
+# Names of an instruction sample's fields; the second name counts only when the first is absent.
+INSTRUCTION, INPUT, OUTPUT = ("instruction", "human"), ("input",), ("output", "assistant")
+SAMPLE_FIELDS = INSTRUCTION + INPUT + OUTPUT
+
+
+def built_messages(field: Callable[[str], Column]) -> Column:
+    """Messages of an instruction sample; ``field(name)`` is Python's ``str()`` of a field, NULL when absent."""
+    def first(names: tuple[str, ...]) -> Column:
+        return F.coalesce(*map(field, names), F.lit(""))
+
+    return instruction_messages(first(INSTRUCTION), first(INPUT), first(OUTPUT))
+
+
 def record_messages(record: Column) -> Column:
-    """Messages of a variant record: its ``messages`` when the key is there, else its fields.
+    """Messages of a variant record that is an object: its ``messages`` when the key is there, else its fields.
 
-    The second name of a field counts only when the first key is absent, not when it is null.
+    NULL when ``messages`` is neither empty (or null, false, 0) nor a list of objects with role and content.
     """
-    def either(first: str, second: str) -> Column:
-        value = variant_field(record, first)
-        return python_str(F.when(value.isNotNull(), value).otherwise(variant_field(record, second)))
+    def text(name: str) -> Column:
+        value = variant_field(record, name)
+        return F.when(value.isNotNull(), python_str(value))
+
+    def has_both(m: Column) -> Column:
+        return variant_field(m, "role").isNotNull() & variant_field(m, "content").isNotNull()
+
+    def as_message(m: Column) -> Column:
+        return message(python_str(variant_field(m, "role")), python_str(variant_field(m, "content")))
 
     given = variant_field(record, "messages")
-    built = instruction_messages(
-        either("instruction", "human"), python_str(variant_field(record, "input")), either("output", "assistant")
+    items = F.try_variant_get(given, "$", "array<variant>")
+    falsy = F.is_variant_null(given) | F.schema_of_variant(given).isin("OBJECT<>", "VOID") | F.coalesce(
+        python_str(given).isin("", "0", "0.0", "-0.0", "False"), F.lit(False))
+    listed = F.when(F.forall(items, has_both), F.transform(items, as_message))
+    return (
+        F.when(given.isNull(), built_messages(text)).when(items.isNotNull(), listed)
+        .when(falsy, F.array().cast(MESSAGES_TYPE))
     )
-    return F.when(given.isNotNull(), F.try_variant_get(given, "$", MESSAGES_TYPE)).otherwise(built)
 
 
 def render_message(role: Column, content: Column) -> Column:

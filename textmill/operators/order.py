@@ -151,6 +151,7 @@ def mix_sources(df: DataFrame, source: str, order: str, seed: int = 42, out: str
     arriving = stage(running_total(placed, step, "_at", in_source, [F.col(order)], [source]), "arrivals")
     # About BUCKET_KEYS rows arrive in a slot when this many sources are running.
     running = keyed.select(source).distinct().count()
-    slot = F.floor(F.col("_at") * max(running, 1) / (BUCKET_KEYS * TICKS)).cast("long")
+    # The width is divided, not the time multiplied: times of very long sources would leave the range of a long.
+    slot = F.floor(F.col("_at") / F.lit(max(1, BUCKET_KEYS * TICKS // max(running, 1)))).cast("long")
     placed = position(arriving, out, [slot], [F.col("_at"), F.col(source)])
     return df.join(placed.select(source, order, out), [source, order])

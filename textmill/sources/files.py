@@ -26,6 +26,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import (
     RECORD_FIELDS, choose_text, python_str, record_text, strip, variant_field, variant_string,
@@ -115,69 +116,109 @@ def text_lines(spark: SparkSession, path: str, glob: str | None = None, file_cla
     return _keyed(lines, file_class, F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw"))
 
 
-_REPARSED = T.StructType(
-    [T.StructField("valid", T.BooleanType()), T.StructField("bare", T.StringType()),
-     T.StructField("as_text", T.StringType())]
-    + [T.StructField(f"f{i}", T.StringType()) for i in range(len(RECORD_FIELDS))]
-)
+_FIELDS = [T.StructField("bare", T.StringType())] + [
+    T.StructField(f"f{i}", T.StringType()) for i in range(len(RECORD_FIELDS))]
+_REPARSED = T.StructType([
+    T.StructField("valid", T.BooleanType()), T.StructField("object", T.BooleanType()),
+    T.StructField("as_text", T.StringType()), *_FIELDS])
+_REPARSED_FILE = T.StructType([
+    T.StructField("valid", T.BooleanType()), T.StructField("items", T.ArrayType(T.StructType(_FIELDS)))])
+
 
+def second_parser(found: T.StructType, describe):
+    """A Python function for texts the JVM parser refused: malformed, over its size limits, NaN, repeated keys.
 
-@F.arrow_udf(_REPARSED)
-def _reparse(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Second opinion on lines the JVM parser refused: malformed, over its size limits, NaN."""
+    ``describe(value)`` gives the fields of ``found`` besides ``valid``, or None for a value that will not do.
+    """
+    @F.arrow_udf(found)
+    def reparse(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def one(text):
+            if text is None:
+                return None
+            try:
+                described = describe(json.loads(text))
+            except ValueError:
+                described = None
+            return {"valid": False} if described is None else {"valid": True} | described
+
+        kind = to_arrow_type(found)
+        for batch in texts:
+            yield pa.array([one(text) for text in batch.to_pylist()], kind)
+
+    return reparse
+
+
+def _described(record) -> dict:
+    """The string fields of a record."""
     def only_string(value):
         return value if isinstance(value, str) else None
 
-    def one(line):
-        if line is None:
-            return None
-        try:
-            record = json.loads(line)
-        except ValueError:
-            return {"valid": False}
-        fields = record if isinstance(record, dict) else {}
-        found = {"valid": True, "bare": only_string(record), "as_text": str(fields.get("text", ""))}
-        return found | {f"f{i}": only_string(fields.get(name)) for i, name in enumerate(RECORD_FIELDS)}
+    fields = record if isinstance(record, dict) else {}
+    return {"bare": only_string(record)} | {f"f{i}": only_string(fields.get(n)) for i, n in enumerate(RECORD_FIELDS)}
+
+
+def _described_line(record) -> dict:
+    is_object = isinstance(record, dict)
+    text = str(record["text"]) if is_object and "text" in record else ""
+    return {"object": is_object, "as_text": text} | _described(record)
+
+
+def _described_file(value) -> dict:
+    items = [value]
+    if isinstance(value, dict):
+        items = next((value[k] for k in ENVELOPE_KEYS if isinstance(value.get(k), list)), items)
+    elif isinstance(value, list):
+        items = value
+    else:
+        items = []  # a scalar holds no record
+    return {"items": [_described(item) for item in items]}
 
-    kind = pa.struct([("valid", pa.bool_())] + [(name, pa.string()) for name in _REPARSED.names[1:]])
-    for batch in lines:
-        yield pa.array([one(line) for line in batch.to_pylist()], kind)
+
+_reparse = second_parser(_REPARSED, _described_line)
+_reparse_file = second_parser(_REPARSED_FILE, _described_file)
 
 
 def _keys(df: DataFrame) -> list[str]:
     return [c for c in ORDER if c in df.columns and c != "pos"]
 
 
-def _line_scan(spark: SparkSession, path, glob: str | None = None, file_class: int = 0) -> DataFrame:
+def line_scan(spark: SparkSession, path, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """Stripped non-blank lines, not numbered yet."""
     lines = _keyed(_reader(spark, glob).text(path), file_class, strip(F.col("value")).alias("raw"))
     return lines.where(F.col("raw") != "")
 
 
-def _parsed_lines(lines: DataFrame) -> DataFrame:
-    """Lines with ``record`` (a variant) or, where the JVM refused, ``again``.
+def parsed_values(rows: DataFrame, text: str = "raw", again=_reparse) -> DataFrame:
+    """Rows with ``record`` (the text as a variant) or, where the JVM refused, ``again``.
 
-    The line is parsed inside an array that ends in a marker, so that text after the record
+    The text is parsed inside an array that ends in a marker, so that anything after the value
     makes it malformed; a bare ``try_parse_json`` stops after the first value.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("raw"), F.lit(f',"{_END}"]')))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
     whole = (F.try_variant_get("wrapped", "$[1]", "string") == _END) & F.try_variant_get(
         "wrapped", "$[2]", "variant"
     ).isNull()
     record = F.when(whole, F.try_variant_get("wrapped", "$[0]", "variant"))
     # The row number is made here because no filter is pushed below it: a filter on the record
-    # would otherwise parse every line once more.
-    return lines.withColumn("wrapped", wrapped).withColumn("record", record).select(
-        *_keys(lines), F.monotonically_increasing_id().alias("pos"), "raw", "record",
-        _reparse(F.when(F.col("record").isNull(), F.col("raw"))).alias("again"),
+    # would otherwise parse every text once more.
+    return rows.withColumn("wrapped", wrapped).withColumn("record", record).select(
+        *_keys(rows), F.monotonically_increasing_id().alias("pos"), text, "record",
+        again(F.when(F.col("record").isNull(), F.col(text))).alias("again"),
     )
 
 
+def is_object(record: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+
+
+def _again_text(found: Column) -> Column:
+    return choose_text(lambda n: found[f"f{RECORD_FIELDS.index(n)}"], found["bare"])
+
+
 def _line_texts(lines: DataFrame) -> DataFrame:
     """Tolerant reading of JSON lines."""
-    again = choose_text(lambda n: F.col(f"again.f{RECORD_FIELDS.index(n)}"), F.col("again.bare"))
-    raw = F.when(F.col("record").isNotNull(), record_text(F.col("record"))).otherwise(again)
-    parsed = _parsed_lines(lines)
+    raw = F.when(F.col("record").isNotNull(), record_text(F.col("record"))).otherwise(_again_text(F.col("again")))
+    parsed = parsed_values(lines)
     return parsed.where(F.col("record").isNotNull() | F.col("again.valid")).select(
         *_keys(lines), "pos", raw.alias("raw")
     )
@@ -185,18 +226,19 @@ def _line_texts(lines: DataFrame) -> DataFrame:
 
 def json_lines(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """Tolerant JSON lines: blank and malformed lines are left out, any JSON value is a record."""
-    return _line_texts(_line_scan(spark, path, glob, file_class))
+    return _line_texts(line_scan(spark, path, glob, file_class))
 
 
 def strict_json_lines(spark: SparkSession, path, glob: str | None = None, file_class: int = 0) -> DataFrame:
-    """JSON lines whose document is ``str(record["text"])``; a malformed line fails the job."""
-    lines = _line_scan(spark, path, glob, file_class)
+    """JSON lines whose document is ``str(record["text"])``; a line that is no object fails the job."""
+    lines = line_scan(spark, path, glob, file_class)
+    refused = F.concat(F.lit("malformed JSON line: "), F.substr("raw", F.lit(1), F.lit(80)))
     raw = (
-        F.when(F.col("record").isNotNull(), python_str(variant_field(F.col("record"), "text")))
-        .when(F.col("again.valid"), F.col("again.as_text"))
-        .otherwise(F.raise_error(F.concat(F.lit("malformed JSON line: "), F.substr("raw", F.lit(1), F.lit(80)))))
+        F.when(is_object(F.col("record")), python_str(variant_field(F.col("record"), "text")))
+        .when(F.col("again.valid") & F.col("again.object"), F.col("again.as_text"))
+        .otherwise(F.raise_error(refused))
     )
-    return _parsed_lines(lines).select(*_keys(lines), "pos", raw.alias("raw"))
+    return parsed_values(lines).select(*_keys(lines), "pos", raw.alias("raw"))
 
 
 def _file_scan(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
@@ -204,35 +246,29 @@ def _file_scan(spark: SparkSession, path: str, glob: str | None = None, file_cla
 
 
 def _file_texts(files: DataFrame) -> DataFrame:
-    files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    whole = F.concat(F.lit('{"v":'), F.col("body"), F.lit(',"end":1}'))
-    options = {"allowNonNumericNumbers": "false"}
-
-    def parsed(shape: str) -> Column:
-        value = F.from_json(whole, f"v {shape}, end int", options)
-        return F.when(value["end"] == 1, value["v"]).otherwise(
-            F.raise_error(F.concat(F.lit("malformed JSON file: "), F.array_join("file_parts", "/")))
-        )
-
-    lists = ", ".join(f"`{k}`: array<variant>" for k in ENVELOPE_KEYS)
-    first = F.substr("body", F.lit(1), F.lit(1))
+    record = F.col("record")
+    lists = [F.try_variant_get(variant_field(record, k), "$", "array<variant>") for k in ENVELOPE_KEYS]
     items = (
-        F.when(first == "[", parsed("array<variant>"))
-        .when(first == "{", F.coalesce(
-            *[F.col(f"envelope.{k}") for k in ENVELOPE_KEYS], F.array(F.parse_json("body"))))
-        .otherwise(F.slice(F.array(F.parse_json("body")), 2, 1))  # a scalar: checked, holds no record
+        F.when(is_object(record), F.coalesce(*lists, F.array(record)))
+        .otherwise(F.coalesce(F.try_variant_get(record, "$", "array<variant>"), F.array().cast("array<variant>")))
     )
-    opened = files.withColumn("envelope", F.when(first == "{", parsed(f"struct<{lists}>")))
+    refused = F.concat(F.lit("malformed JSON file: "), F.array_join("file_parts", "/"))
+    again = F.when(F.col("again.valid"), F.col("again.items")).otherwise(F.raise_error(refused))
+    nothing = T.StructType(_FIELDS).simpleString()
+    both = F.when(
+        record.isNotNull(), F.transform(items, lambda v: F.struct(v.alias("v"), F.lit(None).cast(nothing).alias("again")))
+    ).otherwise(F.transform(again, lambda x: F.struct(F.lit(None).cast("variant").alias("v"), x.alias("again"))))
+    raw = F.when(F.col("item.v").isNotNull(), record_text(F.col("item.v"))).otherwise(_again_text(F.col("item.again")))
     return (
-        opened.select(*_keys(files), F.posexplode(items).alias("pos", "record"))
-        .select(*_keys(files), F.col("pos").cast("long").alias("pos"), record_text(F.col("record")).alias("raw"))
+        parsed_values(files, "body", _reparse_file).select(*_keys(files), F.posexplode(both).alias("pos", "item"))
+        .select(*_keys(files), F.col("pos").cast("long").alias("pos"), raw.alias("raw"))
     )
 
 
 def json_file(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:
     """Whole JSON files: the items of a list, of the first list under an envelope key, or the object.
 
-    Items become variants one by one, so only an item, not the file, has to fit a variant.
+    A file that the JVM parser refuses is read by the second parser, which also knows NaN and values of any size.
     """
     return _file_texts(_file_scan(spark, path, glob, file_class))
 
@@ -259,7 +295,7 @@ def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_c
 
 
 # How each kind of file is scanned, and how the scanned rows become texts.
-_SCANS = {"jsonl": _line_scan, "json": _file_scan, "txt": text_lines, "parquet": parquet_rows}
+_SCANS = {"jsonl": line_scan, "json": _file_scan, "txt": text_lines, "parquet": parquet_rows}
 _EXTRACTS = {"jsonl": _line_texts, "json": _file_texts}
 
 
@@ -269,7 +305,7 @@ def _scans(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
     A folder named ``*.jsonl`` is one JSON-lines file in parts, as the sink writes it.
     """
     if path.rstrip("/").endswith(".jsonl"):
-        return [("jsonl", _line_scan(spark, path))]
+        return [("jsonl", line_scan(spark, path))]
     if is_file(spark, path):
         kind = _kind(path.rsplit("/", 1)[-1])
         return [(kind, _SCANS[kind](spark, path))] if kind else []
@@ -279,7 +315,7 @@ def _scans(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
         glob = CLASSES[file_class]
         if glob == "wiki_*" and kind == "jsonl":
             named = F.element_at("file_parts", -1)
-            lines = _line_scan(spark, path, glob, file_class)
+            lines = line_scan(spark, path, glob, file_class)
             found.append((kind, lines.where(~named.rlike(r"\.(json|txt|parquet)$"))))
         else:
             found.append((kind, _SCANS[kind](spark, path, f"wiki_*.{kind}" if glob == "wiki_*" else glob, file_class)))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.chat import record_messages
+from ..functions.chat import SAMPLE_FIELDS, built_messages, record_messages
 from ..functions.text import strip
-from .files import path_exists, strict_json_lines, text_lines
+from .files import is_object, line_scan, parsed_values, path_exists, second_parser, strict_json_lines, text_lines
 
 
 def _texts(lines: DataFrame) -> DataFrame:
@@ -24,12 +25,39 @@ def pretrain_samples(spark: SparkSession, path: str) -> DataFrame:
     return _texts(read(spark, path))
 
 
+_MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
+_SAMPLE = T.StructType([
+    T.StructField("valid", T.BooleanType()), T.StructField("messages", _MESSAGES),
+    *(T.StructField(n, T.StringType()) for n in SAMPLE_FIELDS)])
+
+
+def _described_sample(record) -> dict | None:
+    """What a chat sample holds, as strings; None when it is no such sample."""
+    if not isinstance(record, dict):
+        return None
+    if "messages" not in record:
+        return {n: str(record[n]) for n in SAMPLE_FIELDS if n in record}
+    messages = record["messages"] or []
+    if not isinstance(messages, list) or not all(isinstance(m, dict) and m.keys() >= {"role", "content"} for m in messages):
+        return None
+    return {"messages": [{k: str(m[k]) for k in ("role", "content")} for m in messages]}
+
+
+_resample = second_parser(_SAMPLE, _described_sample)
+
+
 def chat_samples(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines turned into ``messages``; samples without any message are left out."""
-    lines = text_lines(spark, path).withColumn("raw", strip(F.col("raw"))).where("raw != ''")
-    parsed = lines.withColumn("record", F.parse_json("raw"))
+    """JSON lines turned into ``messages``; samples without any message are left out.
+
+    A line that is no object, or whose messages are no list of objects with role and content, fails the job.
+    """
+    parsed = parsed_values(line_scan(spark, path), again=_resample)
+    again = F.col("again")
+    messages = F.when(is_object(F.col("record")), record_messages(F.col("record"))).when(
+        again["valid"], F.coalesce(again["messages"], built_messages(lambda n: again[n])))
+    refused = F.raise_error(F.concat(F.lit("not a chat sample: "), F.substr("raw", F.lit(1), F.lit(80))))
     return parsed.select(
-        "file_class", "file_parts", "blk", "pos", record_messages(F.col("record")).alias("messages")
+        "file_class", "file_parts", "blk", "pos", F.coalesce(messages, refused).alias("messages")
     ).where(F.size("messages") > 0)
 
 
