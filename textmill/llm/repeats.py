@@ -15,8 +15,8 @@ phrases, with their context, are sorted as byte strings; neighbours that agree i
 are repeated positions. So the suffix array of the dictionary is only built where the parse leaves
 a choice, which for repetitive text is a small part of it.
 
-Stretches without a trigger are cut at those of a second, denser hash, and where even that has none each position
-is a phrase. Which of the three applies depends on the bytes of the position's own string, so equal strings meet.
+A position with no trigger near belongs to the first smallest hash in its reach. Which of the two applies, and where,
+depends on the bytes of the position's own string alone, so equal strings meet.
 
 Every byte covered by a repeated string of ``length`` bytes goes. Strings do not cross documents and are judged on the
 input. Defined results: a null text is empty; texts shorter than ``length`` are kept whole;
@@ -40,7 +40,9 @@ from .words import _BYTE, Slice, mixed, powers, slices
 LENGTH = 200
 CONTEXT = 64  # bytes from the trigger on that choose where a phrase is looked at
 TRIGGER_BYTES = 8
-EVERY, EVERY_DENSE = 64, 32  # one position in so many triggers
+EVERY = 64  # one position in so many triggers
+FAR_AT_ONCE = 4_096
+BROADCAST_WIDTH = 32  # bytes of a context in a broadcast
 SORT_GROUP = 2_048  # entries of one context sorted in one place
 
 _BASE = 0x9E3779B97F4A7C15
@@ -92,9 +94,14 @@ def phrases(s: Slice, length: int = LENGTH, context: int = CONTEXT) -> dict[str,
     reach = length - context
     whole = position + TRIGGER_BYTES <= end
     first = _next_at_or_after(np.flatnonzero(whole & (rolling % np.uint64(EVERY) == 0)), n)[starts]
-    second = _next_at_or_after(np.flatnonzero(whole & ((rolling >> np.uint64(32)) % np.uint64(EVERY_DENSE) == 0)), n)[starts]
-    kind = np.where(first - starts <= reach, 0, np.where(second - starts <= reach, 1, 2))
-    trigger = np.choose(kind, (first, second, starts))
+    trigger = np.where(first - starts <= reach, first, -1)
+    far = np.flatnonzero(trigger < 0)
+    near = np.lib.stride_tricks.sliding_window_view(rolling, reach + 1)
+    for i in range(0, len(far), FAR_AT_ONCE):
+        part = far[i : i + FAR_AT_ONCE]
+        trigger[part] = starts[part] + near[starts[part]].argmin(1)
+    kind = np.zeros(len(starts), np.int8)
+    kind[far] = 1
     text = np.searchsorted(s.offsets, starts, "right") - 1
     fresh = np.ones(len(starts), bool)  # a phrase is a run of positions with one trigger
     fresh[1:] = (trigger[1:] != trigger[:-1]) | (kind[1:] != kind[:-1]) | (np.diff(starts) != 1) | (np.diff(text) != 0)
@@ -221,8 +228,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, context: int = CONTEXT)
     """
     parse = stage(docs.select("key", "text").mapInArrow(
         _parsed(length, context), "q long, e long, key long, low int, high int, trigger int"), "parse")
-    twice = parse.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("q")
-    parse = stage(parse.join(twice, "q"), "repeated_contexts")
+    twice = stage(parse.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("q"), "twice")
+    parse = stage(parse.join(sent_if_small(twice, F.lit(BROADCAST_WIDTH)), "q"), "repeated_contexts")
     entries = parse.groupBy("q", "e").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "low", "high", "trigger")).alias("one"))
     entries = stage(entries, "dictionary")
     several = entries.groupBy("q").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
