@@ -153,21 +153,39 @@ def _entry_texts(length: int):
     return run
 
 
-def _suffixes(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All positions of some entries: which entry, which position, and the position's string, led by
-    the context and the distance to the trigger."""
-    q, back, n = (table.column(c).to_numpy() for c in ("q", "back", "n"))
-    entry = table.column("entry").to_pylist()
-    lengths = np.fromiter(map(len, entry), np.int64, len(entry))
-    data = np.frombuffer(b"".join(entry), np.uint8)
-    begin = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(entry)), n)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    rows = np.empty((len(owner), 12 + length), np.uint8)
-    rows[:, :8] = q[owner].view(np.uint8).reshape(-1, 8)
-    rows[:, 8:12] = (back[owner] - place).astype(np.int32).view(np.uint8).reshape(-1, 4)
-    rows[:, 12:] = np.lib.stride_tricks.sliding_window_view(data, length)[begin[owner] + place]
-    return owner, place, rows
+class Suffixes:
+    """All positions of some entries: which entry (owner), which position (place), and a key of the position's
+    string together with its context and its distance to the trigger."""
+
+    def __init__(self, table: pa.Table, length: int):
+        q, back, n = (table.column(c).to_numpy() for c in ("q", "back", "n"))
+        entry = table.column("entry").to_pylist()
+        lengths = np.fromiter(map(len, entry), np.int64, len(entry))
+        self.data = np.frombuffer(b"".join(entry), np.uint8)
+        self.length = length
+        self.owner = np.repeat(np.arange(len(entry)), n)
+        self.place = np.arange(len(self.owner)) - np.repeat(np.cumsum(n) - n, n)
+        self.begin = (np.cumsum(lengths) - lengths)[self.owner] + self.place
+        self.q, self.distance = q[self.owner], (back[self.owner] - self.place).astype(np.int64)
+        with np.errstate(over="ignore"):
+            led = mixed(self.q.view(np.uint64)) + self.distance.astype(np.uint64)
+            self.key = mixed(Hashed(self.data)(self.begin, self.begin + length) ^ mixed(led))
+
+    def equal_to_a_neighbour(self) -> np.ndarray:
+        """Places in these arrays whose string stands beside an equal one in suffix order.
+
+        Only strings whose key is not alone are put in order; that the strings are equal is seen from their bytes.
+        """
+        _, at, count = np.unique(self.key, return_inverse=True, return_counts=True)
+        some = np.flatnonzero(count[at] > 1)
+        rows = np.empty((len(some), 16 + self.length), np.uint8)
+        rows[:, :8] = self.q[some].view(np.uint8).reshape(-1, 8)
+        rows[:, 8:16] = self.distance[some].view(np.uint8).reshape(-1, 8)
+        if len(some):
+            rows[:, 16:] = np.lib.stride_tricks.sliding_window_view(self.data, self.length)[self.begin[some]]
+        order = np.argsort(rows.view(f"V{rows.shape[1]}").ravel(), kind="stable")
+        same = (rows[order[1:]] == rows[order[:-1]]).all(1)
+        return some[np.union1d(order[1:][same], order[:-1][same])]
 
 
 def _neighbours(length: int):
@@ -175,14 +193,10 @@ def _neighbours(length: int):
 
     def sorted_part(held):
         table = pa.Table.from_batches(held)
-        owner, place, rows = _suffixes(table, length)
-        order = np.argsort(rows.view(f"V{rows.shape[1]}").ravel(), kind="stable")
-        same = (rows[order[1:]] == rows[order[:-1]]).all(1)
-        twice = np.zeros(len(rows), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        q, e = (table.column(c).to_numpy()[owner[twice]] for c in ("q", "e"))
-        return pa.RecordBatch.from_pydict({"q": q, "e": e, "at": place[twice].astype(np.int32)})
+        suffixes = Suffixes(table, length)
+        twice = suffixes.equal_to_a_neighbour()
+        q, e = (table.column(c).to_numpy()[suffixes.owner[twice]] for c in ("q", "e"))
+        return pa.RecordBatch.from_pydict({"q": q, "e": e, "at": suffixes.place[twice].astype(np.int32)})
 
     def run(batches):
         held, last, size = [], None, 0
@@ -211,12 +225,10 @@ def _spelled(length: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 table = pa.Table.from_batches([batch.slice(at, 1_000)])
-                owner, place, rows = _suffixes(table, length)
-                w = Hashed(rows.ravel())
-                begin = np.arange(len(rows)) * rows.shape[1]
-                q, e = (table.column(c).to_numpy()[owner] for c in ("q", "e"))
+                suffixes = Suffixes(table, length)
+                q, e = (table.column(c).to_numpy()[suffixes.owner] for c in ("q", "e"))
                 yield pa.RecordBatch.from_pydict({
-                    "w": w(begin, begin + rows.shape[1]).view(np.int64), "q": q, "e": e, "at": place.astype(np.int32)})
+                    "w": suffixes.key.view(np.int64), "q": q, "e": e, "at": suffixes.place.astype(np.int32)})
 
     return run
 
