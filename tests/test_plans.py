@@ -134,3 +134,46 @@ def test_feeds(spark, texts, tmp_path, ranks, epochs):
     for r in rows:
         turns = [(m["role"], ids(f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n")) for m in chats[r.row]["messages"]]
         check_chat(turns, r.input_ids, r.labels, 64)
+
+
+def folders(spark):
+    from pathlib import Path
+
+    from textmill.workspace import work_dir
+
+    base = Path(work_dir(spark).removeprefix("file:")) / "textmill"
+    return set(base.iterdir()) if base.exists() else set()
+
+
+def test_staged_tables_are_deleted(spark, texts, tmp_path, monkeypatch):
+    put(tmp_path / "t/c.jsonl", texts[:20])
+    before = folders(spark)
+    report = corpus.build_corpus(spark, [str(tmp_path / "t")], str(tmp_path / "out"), 80, "20KB", dedupe=True, mix=True)
+    assert len(folders(spark) - before) == 1 and report.first().saved > 0  # the report is read later
+    monkeypatch.setattr("textmill.operators.vocab.STAGE_AFTER", 4)
+    before = folders(spark)
+    vocab = training.train_tokenizer(spark, str(tmp_path / "t"), str(tmp_path / "v"), 120)
+    training.pretrain_feed(spark, str(tmp_path / "t/c.jsonl"), vocab, str(tmp_path / "f"), 32)
+    assert folders(spark) == before
+    put(tmp_path / "bad/wiki_00", ["x" * 90])
+    (tmp_path / "bad/wiki_01").write_text("no json")
+    with pytest.raises(Exception, match="malformed JSON line"):
+        corpus.prepare_wiki(spark, str(tmp_path / "bad"), str(tmp_path / "out3"))
+    assert folders(spark) == before
+
+
+def test_texts_are_shuffled_once_before_they_are_put_in_order(spark, texts, tmp_path, monkeypatch):
+    """The join with the decisions moves the texts; blocks, budget and repeats work on narrow rows."""
+    seen = {}
+    monkeypatch.setattr(corpus, "write_corpus", lambda rows, path, order: seen.update(plan=rows._jdf.queryExecution().toString()))
+    monkeypatch.setattr("textmill.operators.order.broadcast_if_small", lambda df: df)
+    put(tmp_path / "in.jsonl", texts[:20])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        corpus.build_corpus(spark, [str(tmp_path / "in.jsonl")], str(tmp_path / "out"), 80, "20KB", dedupe=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    physical = seen["plan"].split("== Physical Plan ==")[1]
+    scans = [line for line in physical.splitlines() if "FileScan" in line]
+    assert sum("text#" in line for line in scans) == 1, physical

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let, nfkc, pretokens
-from ..workspace import stage
+from ..workspace import Rewritten, staging
 
 # Special tokens in id order, and the roles of some of them.
 SPECIAL_TOKENS = ("<unk>", "<s>", "</s>", "<|im_start|>", "<|im_end|>")
@@ -212,17 +212,23 @@ def train_bpe(words: DataFrame, vocab_size: int = 12_000, min_frequency: int = 2
     written anew every ``STAGE_AFTER`` merges.
     """
     tasks = words.sparkSession.sparkContext.defaultParallelism
-    words = stage(symbol_words(words).repartition(tasks), "words")
-    pairs = stage(pair_count(words), "pairs")
+    with staging(words.sparkSession):
+        return _trained(symbol_words(words).repartition(tasks), vocab_size, min_frequency)
+
+
+def _trained(words: DataFrame, vocab_size: int, min_frequency: int) -> Vocabulary:
+    word_table = Rewritten(words, "words")
+    pair_table = Rewritten(pair_count(word_table.df), "pairs")
+    words, pairs = word_table.df, pair_table.df
     vocab = Vocabulary()
     vocab.tokens += sorted(r.token for r in alphabet(words).collect())
     symbols = _Symbols(vocab)
     since: list[tuple[str, str]] = []
     while len(vocab.tokens) < vocab_size:
         if len(since) >= STAGE_AFTER:
-            counts = stage(updated_pairs(words, pairs, since), "pairs")
-            words = stage(words.select(merged(F.col("sym"), since).alias("sym"), "freq"), "words")
-            pairs, since = counts, []  # one file per task is kept, so the tables stay spread
+            pairs = pair_table.replace(updated_pairs(words, pairs, since))
+            words = word_table.replace(words.select(merged(F.col("sym"), since).alias("sym"), "freq"))
+            since = []  # one file per task is kept, so the tables stay spread
         best = (
             updated_pairs(words, pairs, since).where(F.col("n") >= min_frequency)
             .orderBy(F.desc("n"), "pair").limit(TOP_PAIRS).collect()

@@ -12,7 +12,7 @@ from ..operators.order import block_sequence, first_docs, mix_sources, prefix_en
 from ..operators.report import KEPT, REPEAT, SHORT, corpus_report
 from ..operators.sinks import write_corpus
 from ..sources.files import ORDER, read_corpus, wiki_shards
-from ..workspace import stage
+from ..workspace import keep, stage, staging
 
 BLOCK = ORDER[:-1]
 
@@ -65,26 +65,26 @@ def build_corpus(
     return the report.
 
     The inputs are read and cleaned once and written with their order key. All decisions are
-    taken on the narrow columns of that table; the texts are read again only for the output.
+    taken on the narrow columns of that table; the texts are read again only for the output, where
+    they meet the decisions in one join and are put in order.
     """
-    prepared = stage(prepare(read_corpus(spark, inputs), dictionary), "prepared")
-    keyed = block_sequence(prepared, BLOCK, "pos")
-    facts = keyed.select("seq", "src_ord", "n_chars", "row_bytes", "digest")
-    order = "seq"
-    if mix:
-        facts = stage(mix_sources(facts, "src_ord", "seq", seed), "mixed")
-        order = "place"
-    facts = facts.withColumnRenamed(order, "at")
-    status = stage(decide(facts, "at", min_chars, dedupe, parse_size(max_bytes)), "decided")
-    kept = status.where(F.col("status") == KEPT).select("at")
-    texts = keyed.select("seq", "text")
-    if mix:
-        kept = kept.join(facts.select("at", "seq"), "at")
-        rows = texts.join(kept, "seq")
-    else:
-        rows = texts.withColumnRenamed("seq", "at").join(kept, "at", "left_semi")
-    write_corpus(rows, out_path, ["at"])
-    return corpus_report(status)
+    with staging(spark):
+        prepared = stage(prepare(read_corpus(spark, inputs), dictionary), "prepared")
+        narrow = block_sequence(prepared.drop("text"), BLOCK, "pos")
+        facts = narrow.select("seq", "src_ord", "n_chars", "row_bytes", "digest")
+        order = "seq"
+        if mix:
+            facts = stage(mix_sources(facts, "src_ord", "seq", seed), "mixed")
+            order = "place"
+        status = stage(decide(facts.withColumnRenamed(order, "at"), "at", min_chars, dedupe, parse_size(max_bytes)), "decided")
+        kept = status.where(F.col("status") == KEPT).select("at")
+        if mix:
+            kept = kept.join(facts.select(F.col(order).alias("at"), "seq"), "at")
+        else:
+            kept = kept.withColumn("seq", F.col("at"))
+        chosen = narrow.join(kept, "seq").select(*BLOCK, "pos", "at")
+        write_corpus(prepared.select(*BLOCK, "pos", "text").join(chosen, [*BLOCK, "pos"]).select("at", "text"), out_path, ["at"])
+        return keep(corpus_report(status), "report")
 
 
 def prepare_wiki(
@@ -96,9 +96,10 @@ def prepare_wiki(
     dictionary: DataFrame | dict[str, str] | None = None,
 ) -> DataFrame:
     """Clean the ``wiki_*`` shards under a folder into a corpus; returns the number of documents."""
-    raw = wiki_shards(spark, input_dir)
-    texts = convert(raw.withColumn("text", clean_text(F.col("raw"))).drop("raw"), "text", dictionary)
-    kept = stage(texts.where(char_length(F.col("text")) >= min_chars), "wiki")
-    chosen = first_docs(block_sequence(kept, BLOCK, "pos").select("seq", "text"), "seq", max_docs)
-    write_corpus(chosen, out_path, ["seq"])
-    return chosen.agg(F.count("*").alias("saved"))
+    with staging(spark):
+        raw = wiki_shards(spark, input_dir)
+        texts = convert(raw.withColumn("text", clean_text(F.col("raw"))).drop("raw"), "text", dictionary)
+        kept = stage(texts.where(char_length(F.col("text")) >= min_chars), "wiki")
+        chosen = first_docs(block_sequence(kept, BLOCK, "pos").select("seq", "text"), "seq", max_docs)
+        write_corpus(chosen, out_path, ["seq"])
+        return keep(chosen.agg(F.count("*").alias("saved")), "report")

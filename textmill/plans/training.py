@@ -11,7 +11,7 @@ from ..operators.order import block_sequence, position
 from ..operators.sinks import write_shards
 from ..operators.vocab import Vocabulary, pretoken_freq, save_vocabulary, train_bpe
 from ..sources.samples import chat_samples, pretrain_samples, tokenizer_texts
-from ..workspace import stage
+from ..workspace import stage, staging
 
 SAMPLE_BLOCK = ["file_class", "file_parts", "blk"]
 
@@ -26,17 +26,22 @@ def train_tokenizer(
 
 
 def _feed(encoded: DataFrame, out_path: str, ranks: int, epochs: int, seed: int) -> None:
-    """Number the samples in reading order, shuffle per epoch, deal to ranks and write."""
-    samples = stage(encoded, "encoded")
-    keyed = block_sequence(samples, SAMPLE_BLOCK, "pos")
-    # Within a block numbers are dense up to lines left out, so a block and a range of positions
-    # bound a bucket.
-    ids = position(
-        keyed.select("seq"), "row", [F.shiftright("seq", 16)], [F.col("seq")]
-    )
-    shards = shard_rows(ids.select("row"), "row", ranks, epochs, seed)
-    rows = keyed.select("seq", "input_ids", "labels").join(ids, "seq")
-    write_shards(shards.join(rows, "row").select("epoch", "rank", "place", "row", "input_ids", "labels"), out_path)
+    """Number the samples in reading order, shuffle per epoch, deal to ranks and write.
+
+    Numbers, ranks and places are found on narrow rows; the encoded arrays meet them in one join.
+    """
+    with staging(encoded.sparkSession):
+        samples = stage(encoded, "encoded")
+        narrow = block_sequence(samples.select(*SAMPLE_BLOCK, "pos"), SAMPLE_BLOCK, "pos")
+        # Within a block numbers are dense up to lines left out, so a block and a range of positions
+        # bound a bucket.
+        ids = position(
+            narrow.select("seq"), "row", [F.shiftright("seq", 16)], [F.col("seq")]
+        )
+        shards = shard_rows(ids.select("row"), "row", ranks, epochs, seed)
+        placed = shards.join(ids, "row").join(narrow, "seq").select(*SAMPLE_BLOCK, "pos", "epoch", "rank", "place", "row")
+        rows = samples.join(placed, [*SAMPLE_BLOCK, "pos"])
+        write_shards(rows.select("epoch", "rank", "place", "row", "input_ids", "labels"), out_path)
 
 
 def pretrain_feed(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +35,72 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/textmill/{uuid.uuid4().hex}/{name}"
 
 
+class _Staged:
+    """Paths of the tables written inside a ``staging`` block, and the block around it."""
+
+    def __init__(self, outer: _Staged | None):
+        self.outer, self.paths = outer, []
+
+
+_block: ContextVar[_Staged | None] = ContextVar("textmill_staged", default=None)
+
+
+def _write(df: DataFrame, name: str, block: _Staged | None) -> tuple[DataFrame, str]:
+    path = fresh_path(df.sparkSession, name)
+    if block is not None:
+        block.paths.append(path)  # before the write: a failed one leaves files, too
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()  # made for this table alone
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The copy has no lineage, survives the loss of executors and is pruned by column, so
     later passes over a few narrow columns do not repeat the work that made them.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, name, _block.get())[0]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end, also when it fails.
+
+    What is read later has to be written elsewhere or with ``keep``.
+    """
+    block = _Staged(_block.get())
+    token = _block.set(block)
+    try:
+        yield
+    finally:
+        _block.reset(token)
+        for path in block.paths:
+            _delete(spark, path)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for a table that outlives the ``staging`` block around it (and lives as long as the next one)."""
+    block = _block.get()
+    return _write(df, name, block.outer if block else None)[0]
+
+
+class Rewritten:
+    """A table that is written again and again; a version goes as soon as its successor is written."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.name = name
+        self.df, self._path = _write(df, name, _block.get())
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        old = self._path
+        self.df, self._path = _write(df, self.name, _block.get())
+        _delete(df.sparkSession, old)
+        return self.df
 
 
 def spread(df: DataFrame) -> DataFrame:
