@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import exact_dedup, mixing, near_dedup, pieces, quality, queries
-from textmill.workspace import stage
+from textmill.workspace import keep, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,5 +57,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        with staging(spark):  # what a stage writes on its way goes when its result is written
+            docs = keep(step(spark, docs, sf_dir), name)
     return docs
