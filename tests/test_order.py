@@ -79,6 +79,13 @@ def test_mix_odds(spark):
     assert abs(seen["baa"] / n - 0.5) < 0.04 and abs(seen["aba"] / n - 0.25) < 0.04
 
 
+def test_mix_of_very_long_sources(spark, monkeypatch):
+    """Arrival times near the end of a long do not overflow when they are dealt to slots."""
+    monkeypatch.setattr(order, "arrival_step", lambda seed, source, k: F.lit((1 << 63) // 8) + k)
+    got = mixed(spark, {"a": 7, "b": 5}, 1)
+    assert Counter(s for s, _ in got) == {"a": 7, "b": 5} and [k for s, k in got if s == "a"] == sorted(k for s, k in got if s == "a")
+
+
 def test_block_sequence_sorts_like_its_key(spark):
     df = spark.createDataFrame([(f, b, (p << 33) + i) for f in ("b", "a") for b, p in ((0, 3), (64, 1)) for i in range(3)],
                                "f string, b long, pos long")

@@ -5,7 +5,7 @@ Arrays are shown as comma-separated text so that any engine compares them alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
@@ -261,6 +261,22 @@ def parquet_rows(spark, sf_dir):
     return placed(files.parquet_rows(spark, folder, "*.parquet"), ONE_INPUT)
 
 
+@query(f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, {sql_clean("""
+  CASE doc_id % 10 WHEN 1 THEN CAST(length(text) AS VARCHAR) || '.0' WHEN 2 THEN 'None' WHEN 3 THEN '' WHEN 4 THEN 'True' ELSE text END
+""")} AS text FROM documents""")
+def strict_lines(spark, sf_dir):
+    """Objects of every shape: numbers, null, no text, a repeated key, NaN beside the text."""
+    path, kind, text = fresh_path(spark, "strict.jsonl"), F.col("doc_id") % 10, F.to_json(F.struct("text"))
+    line = (
+        F.when(kind == 1, F.concat(F.lit('{"text": '), F.char_length("text").cast("string"), F.lit(".0}")))
+        .when(kind == 2, '{"text": null}').when(kind == 3, '{"other": 1}').when(kind == 4, '{"text": true}')
+        .when(kind == 5, F.concat(F.lit('{"text": "unused", '), F.substr(text, F.lit(2))))
+        .when(kind == 6, F.concat(F.lit('{"v": NaN, '), F.substr(text, F.lit(2)))).otherwise(text)
+    )
+    fx.jsonl_folder(documents(spark, sf_dir), path, line, "doc_id")
+    return placed(files.strict_json_lines(spark, path), ONE_INPUT)
+
+
 @query(f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, {sql_clean('text')} AS text FROM documents")
 def wiki_shards(spark, sf_dir):
     folder = fresh_path(spark, "extracted")
@@ -358,17 +374,32 @@ def convert_chars(spark, sf_dir):
 
 # --- chat --------------------------------------------------------------------------------------------
 
-def questions(spark, sf_dir) -> DataFrame:
-    """``conv_id, question, answer``: the first user and assistant turn of each conversation."""
-    def first(role: str) -> Column:
-        return F.coalesce(F.min_by("text", F.when(F.col("role") == role, F.col("turn"))), F.lit(""))
-
-    return conversations(spark, sf_dir).groupBy("conv_id").agg(
-        first("user").alias("question"), first("assistant").alias("answer"))
+# Conversations get numbers of this many places: a sample per user or unanswered turn, the last one empty.
+PLACES = 1000
 
 
-QUESTIONS = """questions AS (SELECT conv_id, coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), '') AS q,
-  coalesce(arg_min(text, turn) FILTER (WHERE role = 'assistant'), '') AS a FROM conversations GROUP BY conv_id)"""
+def questions(spark, sf_dir) -> DataFrame:
+    """``conv_id, question, answer``: every user turn with the assistant turn after it, assistant turns that
+    follow no user turn, and an empty sample per conversation. ``conv_id`` numbers the samples."""
+    turns = conversations(spark, sf_dir).where("role IN ('user', 'assistant')")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    near = turns.select("conv_id", "turn", "role", "text", F.lag("role").over(w).alias("before"),
+                        F.lead("role").over(w).alias("after"), F.lead("text").over(w).alias("reply"))
+    near = near.where("role = 'user' OR before IS NULL OR before <> 'user'")
+    user = F.col("role") == "user"
+    pairs = near.select(
+        (F.col("conv_id") * PLACES + F.col("turn")).alias("conv_id"), F.when(user, F.col("text")).otherwise("").alias("question"),
+        F.when(~user, F.col("text")).when(F.col("after") == "assistant", F.col("reply")).otherwise("").alias("answer"))
+    empty = turns.select((F.col("conv_id") * PLACES + (PLACES - 1)).alias("conv_id"), F.lit("").alias("question"), F.lit("").alias("answer"))
+    return pairs.unionByName(empty.distinct())
+
+
+QUESTIONS = f"""near AS (SELECT *, lag(role) OVER w AS b, lead(role) OVER w AS n, lead(text) OVER w AS r
+  FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+questions AS (SELECT conv_id * {PLACES} + turn AS conv_id, CASE WHEN role = 'user' THEN text ELSE '' END AS q,
+    CASE WHEN role <> 'user' THEN text WHEN n = 'assistant' THEN r ELSE '' END AS a
+  FROM near WHERE role = 'user' OR b IS NULL OR b <> 'user' UNION ALL
+  SELECT DISTINCT conv_id * {PLACES} + {PLACES - 1}, '', '' FROM near)"""
 
 
 def chat_record(question: Column, answer: Column, number: Column) -> Column:
@@ -376,17 +407,20 @@ def chat_record(question: Column, answer: Column, number: Column) -> Column:
     def obj(**fields) -> Column:
         return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
-    kind = number % 7
+    kind = number % 6
     turns = F.array(C.message("user", question), C.message("assistant", answer))
     inner = F.regexp_replace(obj(output=answer), r"^\{", "")
+    said = F.regexp_replace(obj(content=answer), r"^\{", "")
+    empty = F.when(number % (2 * PLACES) < PLACES, '{"messages": [], "instruction": "unused"}').otherwise('{"messages": null}')
     return (
-        F.when(kind == 0, obj(instruction=question, input=F.lit(" \t"), output=answer))
+        F.when(number % PLACES == PLACES - 1, empty)
+        .when(kind == 0, obj(instruction=question, input=F.lit(" \t"), output=answer))
         .when(kind == 1, obj(human=question, assistant=answer))
         .when(kind == 2, obj(instruction=question, input=F.lit(" extra\n"), output=answer))
         .when(kind == 3, obj(messages=turns, instruction=F.lit("unused")))
         .when(kind == 4, F.concat(F.lit('{"instruction": null, "human": "unused", '), inner))
-        .when(kind == 5, F.lit('{"messages": [], "instruction": "unused"}'))
-        .otherwise(F.lit('{"messages": null}'))
+        .otherwise(F.concat(F.lit('{"messages": [{"role": "user", "content": null}, {"role": "assistant", '), said,
+                            F.lit(', {"role": "tool", "content": 1.0}, {"role": "tool", "content": true}], "x": NaN}')))
     )
 
 
@@ -395,23 +429,24 @@ def sql_turn(role: str, content: str) -> str:
 
 
 SYSTEM = sql_turn("'system'", f"'{C.SYSTEM_TEXT}'")
-CHAT_TEXT = f"""CASE conv_id % 7
+CHAT_TEXT = f"""CASE conv_id % 6
   WHEN 2 THEN {SYSTEM} || {sql_turn("'user'", sql_strip('q') + " || chr(10) || chr(10) || '输入：' || chr(10) || 'extra'")}
     || {sql_turn("'assistant'", sql_strip('a'))}
   WHEN 3 THEN {sql_turn("'user'", 'q')} || {sql_turn("'assistant'", 'a')}
   WHEN 4 THEN {SYSTEM} || {sql_turn("'user'", "'None'")} || {sql_turn("'assistant'", sql_strip('a'))}
+  WHEN 5 THEN {sql_turn("'user'", "'None'")} || {sql_turn("'assistant'", 'a')} || {sql_turn("'tool'", "'1.0'")} || {sql_turn("'tool'", "'True'")}
   ELSE {SYSTEM} || {sql_turn("'user'", sql_strip('q'))} || {sql_turn("'assistant'", sql_strip('a'))} END"""
 
 
-@query(f"WITH {QUESTIONS} SELECT conv_id, {CHAT_TEXT} AS chat FROM questions WHERE conv_id % 7 < 5")
+@query(f"WITH {QUESTIONS} SELECT conv_id, {CHAT_TEXT} AS chat FROM questions WHERE conv_id % {PLACES} <> {PLACES - 1}")
 def instruction_to_messages(spark, sf_dir):
-    line = chat_record(F.col("question"), F.col("answer"), F.col("conv_id"))
+    line = F.regexp_replace(chat_record(F.col("question"), F.col("answer"), F.col("conv_id")), ', "x": NaN}$', "}")
     rows = questions(spark, sf_dir).select("conv_id", F.parse_json(line).alias("record"))
     chats = rows.select("conv_id", C.record_messages(F.col("record")).alias("messages")).where(F.size("messages") > 0)
     return chats.select("conv_id", C.render_chat(F.col("messages")).alias("chat"))
 
 
-@query(f"WITH {QUESTIONS} SELECT row_number() OVER (ORDER BY conv_id) - 1 AS place, {CHAT_TEXT} AS chat FROM questions WHERE conv_id % 7 < 5")
+@query(f"WITH {QUESTIONS} SELECT row_number() OVER (ORDER BY conv_id) - 1 AS place, {CHAT_TEXT} AS chat FROM questions WHERE conv_id % {PLACES} <> {PLACES - 1}")
 def chat_samples(spark, sf_dir):
     path = fresh_path(spark, "chats.jsonl")
     line = chat_record(F.col("question"), F.col("answer"), F.col("conv_id"))
@@ -639,14 +674,15 @@ def read_back(spark, path: str) -> DataFrame:
     return placed(files.json_lines(spark, path), ONE_INPUT)
 
 
-def sql_built(order_by: str, rows: str) -> str:
-    """``built``: status of every record of ``rows``, up to the byte budget."""
+def sql_built(order_by: str, rows: str, budget: str = BUDGET) -> str:
+    """``built``: status of every record of ``rows``, up to the byte budget (none if empty)."""
+    most = X.parse_size(budget) or "9e18"
     return f"""texts AS (SELECT *, {sql_clean('text')} AS t FROM {rows}),
 status AS (SELECT {order_by} AS seq, t, {sql_bytes('t')} AS b, CASE WHEN length(t) < {MIN_CHARS} THEN 'short'
   WHEN row_number() OVER (PARTITION BY t ORDER BY {order_by}) > 1 THEN 'repeat' ELSE 'kept' END AS s FROM texts),
 running AS (SELECT *, sum(CASE WHEN s = 'kept' THEN b ELSE 0 END) OVER (ORDER BY seq) AS total FROM status),
 built AS (SELECT * FROM running
-  WHERE seq < coalesce((SELECT min(seq) FROM running WHERE s = 'kept' AND total > {X.parse_size(BUDGET)}), 9e18))"""
+  WHERE seq < coalesce((SELECT min(seq) FROM running WHERE s = 'kept' AND total > {most}), 9e18))"""
 
 
 IN_TURN = f"""inputs AS (SELECT *, doc_id * 7 % 5 % {INPUTS} AS src_ord FROM documents),
@@ -654,10 +690,10 @@ lined AS (SELECT *, row_number() OVER (ORDER BY src_ord, doc_id) AS line FROM in
 PLACED = "SELECT row_number() OVER (ORDER BY seq) - 1 AS place, t AS text FROM built WHERE s = 'kept'"
 
 
-def built(spark, sf_dir, mix: bool) -> tuple[str, DataFrame]:
+def built(spark, sf_dir, mix: bool, budget: str = BUDGET) -> tuple[str, DataFrame]:
     path = fresh_path(spark, "built.jsonl")
     counters = corpus.build_corpus(
-        spark, corpus_inputs(spark, sf_dir), path, MIN_CHARS, BUDGET, dedupe=True, mix=mix, seed=SEED)
+        spark, corpus_inputs(spark, sf_dir), path, MIN_CHARS, budget, dedupe=True, mix=mix, seed=SEED)
     return path, counters
 
 
@@ -676,15 +712,39 @@ def corpus_build_report(spark, sf_dir):
     return built(spark, sf_dir, mix=True)[1]
 
 
+@query(f"WITH {IN_TURN}, {sql_built('line', 'lined', '')} {PLACED}")
+def corpus_build_all(spark, sf_dir):
+    return read_back(spark, built(spark, sf_dir, False, "")[0])
+
+
+@query(f"WITH {IN_TURN}, {sql_mixed('lined', 'src_ord', 'doc_id')}, {sql_built('place', 'mixed_rows', '')} {PLACED}")
+def corpus_build_all_mixed(spark, sf_dir):
+    return read_back(spark, built(spark, sf_dir, True, "")[0])
+
+
+def wiki_build(spark, sf_dir, max_docs: int = 0) -> tuple[str, DataFrame]:
+    folder, out = fresh_path(spark, "extracted"), fresh_path(spark, "wiki.jsonl")
+    fx.named_lines(documents(spark, sf_dir), f"{folder}/AA", F.to_json(F.struct("text")), "doc_id", "wiki_", "")
+    single = {s: d for s, d in DICTIONARY.items() if len(s) == len(d) == 1}
+    return out, corpus.prepare_wiki(spark, folder, out, MIN_CHARS, max_docs, single)
+
+
+@query(f"""WITH {CLEANED} SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, translate(t, 'äöüé', 'aoue') AS text
+FROM cleaned WHERE length(t) >= {MIN_CHARS}""")
+def wiki_corpus_all(spark, sf_dir):
+    return read_back(spark, wiki_build(spark, sf_dir)[0])
+
+
+@query(f"WITH {CLEANED} SELECT count(*) AS saved FROM cleaned WHERE length(t) >= {MIN_CHARS}")
+def wiki_count(spark, sf_dir):
+    return wiki_build(spark, sf_dir)[1]
+
+
 @query(f"""WITH {CLEANED}, kept AS (SELECT translate(t, 'äöüé', 'aoue') AS text, doc_id FROM cleaned
   WHERE length(t) >= {MIN_CHARS} ORDER BY doc_id LIMIT 150)
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, text FROM kept""")
 def wiki_corpus(spark, sf_dir):
-    folder, out = fresh_path(spark, "extracted"), fresh_path(spark, "wiki.jsonl")
-    fx.named_lines(documents(spark, sf_dir), f"{folder}/AA", F.to_json(F.struct("text")), "doc_id", "wiki_", "")
-    single = {s: d for s, d in DICTIONARY.items() if len(s) == len(d) == 1}
-    corpus.prepare_wiki(spark, folder, out, MIN_CHARS, 150, single)
-    return read_back(spark, out)
+    return read_back(spark, wiki_build(spark, sf_dir, 150)[0])
 
 
 @query()
