@@ -35,6 +35,17 @@ def test_tree_in_reading_order(spark, tmp_path):
     assert (0, "iki_1.jsonl"[-10:]) in listed and (4, "iki_1.jsonl"[-10:]) in listed and len(listed) == 10
 
 
+def test_names_with_pattern_characters(spark, tmp_path):
+    put(tmp_path, {"g[1]/a{x}.jsonl": '{"text": "l"}\n', "g[1]/w*/wiki_0": '{"text": "w"}\n', "g[1]/t?.txt": "t\n", "g1/no.txt": "no"})
+    for name, df in (("p[a]", [("p", 1)]), ("p{b}", [(2, 3)])):
+        spark.createDataFrame(df, ["content", "n"]).coalesce(1).write.parquet(str(tmp_path / "g[1]" / name))
+    assert sorted(r.raw for r in files.read_corpus(spark, [str(tmp_path / "g[1]")]).collect()) == ["", "l", "p", "t", "w"]
+    assert [r.raw for r in files.read_corpus(spark, [str(tmp_path / "g[1]/a{x}.jsonl")]).collect()] == ["l"]
+    assert [r.raw for r in files.wiki_shards(spark, str(tmp_path / "g[1]")).collect()] == ["w"]
+    assert sorted(r.text for r in samples.tokenizer_texts(spark, str(tmp_path / "g[1]")).collect()) == ["l", "t"]
+    assert [r.text for r in samples.pretrain_samples(spark, str(tmp_path / "g[1]/t?.txt")).collect()] == ["t"]
+
+
 def test_line_order_over_many_blocks(spark, tmp_path):
     lines = {name: [f"{name}{i} " + "x" * (i % 50) for i in range(3000)] for name in "abc"}
     put(tmp_path, {f"{n}.txt": "\n".join(v) for n, v in lines.items()})

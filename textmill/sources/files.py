@@ -16,6 +16,7 @@ operator that has to read the same row twice.
 from __future__ import annotations
 
 import json
+import re
 import sys
 from collections.abc import Iterator
 from functools import reduce
@@ -46,6 +47,15 @@ def _hadoop_path(spark: SparkSession, path: str):
     return handle, handle.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def literal(path: str) -> str:
+    """The path for a reader that would take ``[``, ``{``, ``*`` or ``?`` in it as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _unescaped(path: str) -> str:
+    return re.sub(r"\\(.)", r"\1", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     handle, fs = _hadoop_path(spark, path)
     return fs.exists(handle)
@@ -88,10 +98,10 @@ def _kind(name: str) -> str | None:
 def input_files(spark: SparkSession, path: str) -> DataFrame:
     """Files under ``path`` as the sources would read them: ``file_class, file_parts, kind``."""
     if is_file(spark, path):
-        listed = spark.read.format("binaryFile").load(path)
+        listed = spark.read.format("binaryFile").load(literal(path))
         classes = F.array(F.lit(0))
     else:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal(path))
         name = F.element_at(_parts(F.col("_metadata.file_path")), -1)
         classes = F.array_compact(F.array(*[
             F.when(name.startswith("wiki_") if glob == "wiki_*" else name.endswith(glob[1:]), F.lit(i))
@@ -287,10 +297,10 @@ def parquet_rows(spark: SparkSession, path: str, glob: str | None = None, file_c
             raise
     # A name has different types in different files: the files of one schema are read together.
     by_schema: dict[str, list[str]] = {}
-    for row in input_files(spark, path).where("kind = 'parquet'").select("file_parts").distinct().toLocalIterator():
+    for row in input_files(spark, _unescaped(path)).where("kind = 'parquet'").select("file_parts").distinct().toLocalIterator():
         file = "/".join(row.file_parts)
         if glob in (None, "*.parquet") or row.file_parts[-1].startswith("wiki_"):
-            by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+            by_schema.setdefault(spark.read.parquet(literal(file)).schema.json(), []).append(literal(file))
     return reduce(DataFrame.unionByName, [texts(spark.read.parquet(*files)) for files in by_schema.values()])
 
 
@@ -305,12 +315,12 @@ def _scans(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
     A folder named ``*.jsonl`` is one JSON-lines file in parts, as the sink writes it.
     """
     if path.rstrip("/").endswith(".jsonl"):
-        return [("jsonl", line_scan(spark, path))]
+        return [("jsonl", line_scan(spark, literal(path)))]
     if is_file(spark, path):
         kind = _kind(path.rsplit("/", 1)[-1])
-        return [(kind, _SCANS[kind](spark, path))] if kind else []
+        return [(kind, _SCANS[kind](spark, literal(path)))] if kind else []
     present = input_files(spark, path).select("file_class", "kind").distinct().collect()
-    found = []
+    found, path = [], literal(path)
     for file_class, kind in sorted((r.file_class, r.kind) for r in present):
         glob = CLASSES[file_class]
         if glob == "wiki_*" and kind == "jsonl":
@@ -348,5 +358,5 @@ def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def wiki_shards(spark: SparkSession, path: str) -> DataFrame:
     """Strict JSON lines of all ``wiki_*`` files under a folder, with the full order key."""
-    rows = strict_json_lines(spark, path, "wiki_*")
+    rows = strict_json_lines(spark, literal(path), "wiki_*")
     return rows.select(F.lit(0).alias("src_ord"), *ORDER[1:], "raw")

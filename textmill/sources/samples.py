@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.chat import SAMPLE_FIELDS, built_messages, record_messages
 from ..functions.text import strip
-from .files import is_object, line_scan, parsed_values, path_exists, second_parser, strict_json_lines, text_lines
+from .files import is_object, line_scan, literal, parsed_values, path_exists, second_parser, strict_json_lines, text_lines
 
 
 def _texts(lines: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def pretrain_samples(spark: SparkSession, path: str) -> DataFrame:
     ``path`` may be a folder of part files, as the sinks write them.
     """
     read = strict_json_lines if path.rstrip("/").endswith(".jsonl") else text_lines
-    return _texts(read(spark, path))
+    return _texts(read(spark, literal(path)))
 
 
 _MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
@@ -51,7 +51,7 @@ def chat_samples(spark: SparkSession, path: str) -> DataFrame:
 
     A line that is no object, or whose messages are no list of objects with role and content, fails the job.
     """
-    parsed = parsed_values(line_scan(spark, path), again=_resample)
+    parsed = parsed_values(line_scan(spark, literal(path)), again=_resample)
     again = F.col("again")
     messages = F.when(is_object(F.col("record")), record_messages(F.col("record"))).when(
         again["valid"], F.coalesce(again["messages"], built_messages(lambda n: again[n])))
@@ -64,7 +64,7 @@ def chat_samples(spark: SparkSession, path: str) -> DataFrame:
 def tokenizer_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Non-empty texts of the ``.txt`` and ``.jsonl`` files directly in a folder."""
     def listed(pattern: str) -> str | None:
-        full = f"{folder.rstrip('/')}/{pattern}"
+        full = f"{literal(folder.rstrip('/'))}/{pattern}"
         path = spark._jvm.org.apache.hadoop.fs.Path(full)
         found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
         return full if found is not None and len(found) > 0 else None
