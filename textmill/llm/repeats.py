@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import Rewritten, stage
 from .sizes import sent_if_small
 from .words import _BYTE, Slice, mixed, powers, slices
 
@@ -189,14 +189,17 @@ class Suffixes:
 
 
 def _neighbours(length: int):
-    """Sort the suffixes of the entries of each context; give (q, e, at) of those equal to a neighbour."""
+    """Sort the suffixes of the entries of each context; give by entry (q, e) the positions equal to a neighbour."""
 
     def sorted_part(held):
         table = pa.Table.from_batches(held)
         suffixes = Suffixes(table, length)
         twice = suffixes.equal_to_a_neighbour()
-        q, e = (table.column(c).to_numpy()[suffixes.owner[twice]] for c in ("q", "e"))
-        return pa.RecordBatch.from_pydict({"q": q, "e": e, "at": suffixes.place[twice].astype(np.int32)})
+        entry, first = np.unique(suffixes.owner[twice], return_index=True)
+        at = pa.ListArray.from_arrays(
+            pa.array(np.append(first, len(twice)), pa.int32()), pa.array(suffixes.place[twice], pa.int32()))
+        q, e = (pa.array(table.column(c).to_numpy()[entry]) for c in ("q", "e"))
+        return pa.RecordBatch.from_arrays([q, e, at], ["q", "e", "at"])
 
     def run(batches):
         held, last, size = [], None, 0
@@ -238,10 +241,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, context: int = CONTEXT)
 
     ``docs`` has key and text; keys may repeat.
     """
-    parse = stage(docs.select("key", "text").mapInArrow(
+    table = Rewritten(docs.select("key", "text").mapInArrow(
         _parsed(length, context), "q long, e long, key long, low int, high int, trigger int"), "parse")
+    parse = table.df
     twice = stage(parse.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("q"), "twice")
-    parse = stage(parse.join(sent_if_small(twice, F.lit(BROADCAST_WIDTH)), "q"), "repeated_contexts")
+    parse = table.replace(parse.join(sent_if_small(twice, F.lit(BROADCAST_WIDTH)), "q"))
     entries = parse.groupBy("q", "e").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "low", "high", "trigger")).alias("one"))
     entries = stage(entries, "dictionary")
     several = entries.groupBy("q").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
@@ -252,12 +256,13 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, context: int = CONTEXT)
     cut = stage(cut, "entry_texts")
     sizes = several.where(F.col("entries") > SORT_GROUP).select(F.col("q").alias("_q"))
     small = cut.join(sizes, F.col("q") == F.col("_q"), "left_anti").repartition("q").sortWithinPartitions("q", "e")
-    found = small.mapInArrow(_neighbours(length), "q long, e long, at int")
+    found = small.mapInArrow(_neighbours(length), "q long, e long, at array<int>")
     large = stage(cut.join(sizes, F.col("q") == F.col("_q"), "left_semi").mapInArrow(
         _spelled(length), "w long, q long, e long, at int").distinct(), "large_contexts")
     again = large.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
-    found = found.unionByName(large.join(again, "w").select("q", "e", "at")).distinct()
-    partly = found.groupBy("q", "e").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    counted = large.join(again, "w").groupBy("q", "e").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    # Rows that repeat bring an entry twice; it is a whole one then, and what is found for it makes no difference.
+    partly = found.unionByName(counted)
     known = entries.select("q", "e", (F.col("n") > 1).alias("whole"))
     marked = parse.join(known, ["q", "e"]).join(partly, ["q", "e"], "left").where("whole OR at IS NOT NULL")
     marked = marked.select("key", "low", "high", F.when(~F.col("whole"), F.col("at")).alias("at"))
