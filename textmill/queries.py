@@ -540,6 +540,29 @@ def byte_alphabet(spark, sf_dir):
     return seen.select(F.hex(vocab.symbol_bytes(F.col("token"))).alias("byte"))
 
 
+# Training in SQL: words are strings of ids, each step merges the best pair (ties: smaller ids) in all words.
+SPECIALS = len(vocab.SPECIAL_TOKENS)
+TRAINED = rf"""{PRETOKENS}, numbered_words AS (SELECT row_number() OVER () AS w, word, hex(encode(word)) AS h, freq FROM words),
+places AS (SELECT w, freq, i, substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS byte FROM (
+  SELECT w, freq, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT))) AS i FROM numbered_words)),
+seen_bytes AS (SELECT byte, CAST('0x' || byte AS INTEGER) AS n FROM (SELECT DISTINCT byte FROM places)),
+shown_bytes AS (SELECT byte, CASE WHEN n BETWEEN 33 AND 126 OR n BETWEEN 161 AND 172 OR n >= 174 THEN n
+  WHEN n <= 32 THEN 256 + n WHEN n <= 160 THEN 256 + 33 + n - 127 ELSE 256 + 33 + 34 END AS code FROM seen_bytes),
+alphabet AS (SELECT byte, chr(code) AS token, {SPECIALS - 1} + row_number() OVER (ORDER BY code) AS id FROM shown_bytes),
+base AS (SELECT {SPECIALS} + count(*) AS base FROM alphabet),
+steps AS (
+  SELECT 0 AS step, w, string_agg('<' || id || '>', '' ORDER BY i) AS sym, any_value(freq) AS freq, 0 AS l, 0 AS r
+  FROM places JOIN alphabet USING (byte) GROUP BY w UNION ALL
+  SELECT step + 1, w, replace(sym, '<' || best.l || '><' || best.r || '>', '<' || (base + step) || '>'), freq, best.l, best.r
+  FROM steps, base, (
+    SELECT l, r FROM (
+      SELECT ids[i] AS l, ids[i + 1] AS r, freq FROM (
+        SELECT ids, freq, unnest(range(1, len(ids))) AS i FROM (
+          SELECT list_transform(regexp_extract_all(sym, '[0-9]+'), lambda x: CAST(x AS INTEGER)) AS ids, freq FROM steps)))
+    GROUP BY l, r HAVING sum(freq) >= 2 ORDER BY sum(freq) DESC, l, r LIMIT 1) AS best
+  WHERE base + step < {VOCAB_SIZE}),
+merges AS MATERIALIZED (SELECT DISTINCT step - 1 AS rank, l, r, base + step - 1 AS new_id FROM steps, base WHERE step > 0)"""
+
 _TRAINED: dict[tuple[str, str], vocab.Vocabulary] = {}
 
 
@@ -551,12 +574,18 @@ def trained(spark, sf_dir) -> vocab.Vocabulary:
     return _TRAINED[key]
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAINED} SELECT CAST(rank AS INTEGER) AS rank, CAST(l AS INTEGER) AS "left", CAST(r AS INTEGER) AS "right",
+  CAST(new_id AS INTEGER) AS new_id FROM merges""")
 def bpe_merges(spark, sf_dir):
     return trained(spark, sf_dir).merges_table(spark)
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAINED},
+spelled AS (
+  SELECT CAST(0 AS BIGINT) AS step, {list(vocab.SPECIAL_TOKENS)} || (SELECT list(token ORDER BY id) FROM alphabet) AS tokens UNION ALL
+  SELECT step + 1, list_append(tokens, tokens[l + 1] || tokens[r + 1]) FROM spelled JOIN merges ON rank = step),
+longest AS (SELECT tokens FROM spelled ORDER BY step DESC LIMIT 1)
+SELECT CAST(unnest(range(0, len(tokens))) AS INTEGER) AS id, unnest(tokens) AS token FROM longest""")
 def bpe_vocab(spark, sf_dir):
     path = fresh_path(spark, "vocabulary")
     vocab.save_vocabulary(spark, trained(spark, sf_dir), path)
