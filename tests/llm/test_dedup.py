@@ -80,6 +80,28 @@ def test_near_copies_of_a_large_group(spark):
     assert near_found(near_dedup.near_copies(plain.table(spark, rows, False))) == plain.near(rows)
 
 
+def changed(words: list[str], seed: int, n: int) -> list[str]:
+    """``words`` with ``n`` words, far from each other, put in their place that no other seed has."""
+    own = list(words)
+    for k in random.Random(seed).sample(range(6, len(words) - 6, 6), n):
+        own[k] = f"w{seed}"
+    return own
+
+
+def as_rows(texts: list[list[str]]) -> list[tuple]:
+    return [(i, " ".join(t), None, None, None) for i, t in enumerate(texts)]
+
+
+def test_near_copies_of_a_star(spark):
+    """Copies like one text, but not each other; that text has neither the first nor the last id."""
+    centre = plain.prose(13, 404).split(" ")
+    texts = [changed(centre, i, 6) for i in range(300)]
+    rows = as_rows([*texts[:150], centre, *texts[150:]])
+    want = plain.near(rows)
+    assert {c for _, c in want.values()} == {0}
+    assert near_found(near_dedup.near_copies(plain.table(spark, rows, False))) == want
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_near_copies_of_the_table(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
