@@ -102,6 +102,15 @@ def test_near_copies_of_a_star(spark):
     assert near_found(near_dedup.near_copies(plain.table(spark, rows, False))) == want
 
 
+def test_near_copies_of_a_template(spark):
+    """Couples just above the threshold, all else of the group just below it."""
+    template = plain.prose(14, 404).split(" ")
+    rows = as_rows([changed(changed(template, 1000 + i // 2, 2), i, 3) for i in range(60)])
+    want = plain.near(rows)
+    assert len({c for _, c in want.values()}) > 20
+    assert near_found(near_dedup.near_copies(plain.table(spark, rows, False))) == want
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_near_copies_of_the_table(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")

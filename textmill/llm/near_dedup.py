@@ -8,6 +8,9 @@ signatures; a larger one branches again. A node that stays large after DEPTH bra
 documents by a hash of tree and document, and every part is compared with every part: its documents all meet.
 Pairs found are confirmed on the full sets, and confirmed links are joined to components.
 
+In a group of more than ALL_PAIRS documents this takes two rounds. The first confirms pairs that join what is most
+alike; the second confirms every likely pair whose documents the links of the first have not joined.
+
 A pair of similarity s meets in one tree with probability s to the depth of its leaf, which is DEPTH at most;
 18 trees miss a pair at 0.85 with a probability below 0.00001 and one at 0.80 below 0.0001.
 
@@ -100,9 +103,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def leaves(classes: DataFrame) -> DataFrame:
-    """(node, part, own, id): the groups in which documents are compared, of all trees.
+    """(node, part, own, many, id): the groups in which documents are compared, of all trees.
 
     Where a group is two parts of a large node, ``own`` is the document's part: those of one part meet elsewhere.
+    ``many`` tells nodes of more than ALL_PAIRS documents.
     """
     def child(node, depth, signature):
         function = (F.col("tree") - 1) * DEPTH + depth - 1
@@ -115,7 +119,7 @@ def leaves(classes: DataFrame) -> DataFrame:
         rows = stage(rows.select("id", "tree", child(F.col("node"), depth, F.col("signature")).alias("node")), "branches")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rows = stage(rows.join(sizes, "node"), "nodes")
-        found.append(rows.where(F.col("n") <= LEAF).select("node", F.lit(0).cast("long").alias("part"), F.lit(0).alias("own"), "id"))
+        found.append(rows.where(F.col("n") <= LEAF).select("node", F.lit(0).cast("long").alias("part"), F.lit(0).alias("own"), (F.col("n") > ALL_PAIRS).alias("many"), "id"))
         rows = rows.where(F.col("n") > LEAF)
         if depth == DEPTH or not rows.limit(1).count():
             break
@@ -124,20 +128,16 @@ def leaves(classes: DataFrame) -> DataFrame:
     rows = rows.select("node", "id", parts.alias("parts"), F.pmod(F.xxhash64("tree", "id"), parts).cast("int").alias("own"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
     part = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
-    found.append(rows.select("node", part.cast("long").alias("part"), "own", "id"))
+    found.append(rows.select("node", part.cast("long").alias("part"), "own", F.lit(True).alias("many"), "id"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out.distinct()
 
 
-def likely_pairs(ids: np.ndarray, own: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of one small node to confirm, by estimated similarity.
-
-    All likely ones of a very small node; of a larger one those of FORESTS spanning forests of the most
-    similar pairs, which join whatever all pairs would join.
-    """
-    same = np.zeros((len(ids), len(ids)), np.uint8)
+def estimates(own: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Estimated similarity of the documents of one group; 0 where it is not worth confirming."""
+    same = np.zeros((len(own), len(own)), np.uint8)
     for function in np.ascontiguousarray(low.T):
         same += function[:, None] == function
     estimate = (same / np.float32(low.shape[1]) - 1 / 256) / (1 - 1 / 256)
@@ -146,11 +146,22 @@ def likely_pairs(ids: np.ndarray, own: np.ndarray, sizes: np.ndarray, low: np.nd
     np.fill_diagonal(estimate, 0)
     if (own != own[0]).any():
         estimate[own[:, None] == own] = 0
-    if len(ids) <= ALL_PAIRS:
-        return list(zip(*np.nonzero(np.triu(estimate))))
-    out = []
+    return estimate
+
+
+def first_pairs(estimate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs to confirm first: all likely ones of a very small group.
+
+    Of a larger one those of FORESTS spanning forests of the most similar pairs, and those of the
+    document that is most like all others.
+    """
+    if len(estimate) <= ALL_PAIRS:
+        return np.nonzero(np.triu(estimate))
+    hub = int(np.argmax(estimate.sum(1)))
+    out = [(hub, j) for j in np.flatnonzero(estimate[hub])]
+    estimate = estimate.copy()
     for _ in range(FORESTS):
-        left, best, near = np.ones(len(ids), bool), np.full(len(ids), -1.0), np.zeros(len(ids), int)
+        left, best, near = np.ones(len(estimate), bool), np.full(len(estimate), -1.0), np.zeros(len(estimate), int)
         taken = []
         while left.any():
             i = int(np.argmax(np.where(left, best, -2)))
@@ -162,7 +173,8 @@ def likely_pairs(ids: np.ndarray, own: np.ndarray, sizes: np.ndarray, low: np.nd
         for i, j in taken:
             estimate[i, j] = estimate[j, i] = 0
         out += taken
-    return out
+    i, j = np.array(out, int).reshape(-1, 2).T
+    return i, j
 
 
 def _runs(batches, keys):
@@ -188,19 +200,25 @@ def _runs(batches, keys):
 
 
 def _compared(batches):
-    a, b = [], []
-    for node in _runs(batches, ("node", "part")):
-        if node.num_rows < 2:
+    """Pairs to confirm; with a column of components, all likely ones that these do not join."""
+    for group in _runs(batches, ("node", "part")):
+        if group.num_rows < 2:
+            continue
+        ids, own, sizes = (group.column(c).to_numpy() for c in ("id", "own", "n"))
+        joined = group.column("component").to_numpy() if "component" in group.column_names else None
+        if joined is not None and (joined == joined[0]).all():
             continue
-        ids, own, sizes = (node.column(c).to_numpy() for c in ("id", "own", "n"))
-        low = np.frombuffer(b"".join(node.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-        for i, j in likely_pairs(ids, own, sizes, low):
-            a.append(min(ids[i], ids[j]))
-            b.append(max(ids[i], ids[j]))
-        if len(a) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        estimate = estimates(own, sizes, np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1))
+        if joined is None:
+            i, j = first_pairs(estimate)
+        else:
+            estimate[joined[:, None] == joined] = 0
+            i, j = np.nonzero(np.triu(estimate))
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
+
+
+def _compared_in_place(groups: DataFrame) -> DataFrame:
+    return groups.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(_compared, "a long, b long").distinct()
 
 
 def _whole_sets(batches):
@@ -256,9 +274,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
     signed = stage(signatures(docs), "signatures")
     full = signed.where("n > 0 AND id IS NOT NULL")
     classes = stage(full.groupBy("n", "set").agg(F.min("id").alias("id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "classes")
-    groups = leaves(classes).join(classes.select("id", "n", "sketch"), "id").repartition("node", "part").sortWithinPartitions("node", "part")
-    pairs = stage(groups.mapInArrow(_compared, "a long, b long").distinct(), "pairs")
+    groups, sketches = leaves(classes), classes.select("id", "n", "sketch")
+    pairs = stage(_compared_in_place(groups.join(sketches, "id")), "pairs")
     links = stage(confirmed(docs, pairs), "links")
+    larger = stage(groups.where("many").drop("many"), "larger")
+    if larger.limit(1).count():
+        joined = stage(components(links), "joined")
+        again = larger.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sketches, "id")
+        rest = stage(_compared_in_place(again).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(stage(confirmed(docs, rest), "links"))
     # Equal sets, and rows that repeat an id, are links too.
     members = full.groupBy("n", "set", "id").agg(F.count(F.lit(1)).alias("rows")).join(classes.select("n", "set", F.col("id").alias("first")), ["n", "set"])
     equal = members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
