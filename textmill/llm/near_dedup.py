@@ -199,8 +199,14 @@ def _runs(batches, keys):
         yield pa.Table.from_batches(held)
 
 
+def _pairs(found: list) -> pa.RecordBatch:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 def _compared(batches):
     """Pairs to confirm; with a column of components, all likely ones that these do not join."""
+    found, n = [], 0
     for group in _runs(batches, ("node", "part")):
         if group.num_rows < 2:
             continue
@@ -214,7 +220,12 @@ def _compared(batches):
         else:
             estimate[joined[:, None] == joined] = 0
             i, j = np.nonzero(np.triu(estimate))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
+        found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])))
+        n += len(i)
+        if n > 10_000:
+            yield _pairs(found)
+            found, n = [], 0
+    yield _pairs(found)
 
 
 def _compared_in_place(groups: DataFrame) -> DataFrame:
