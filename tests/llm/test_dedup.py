@@ -209,6 +209,13 @@ def test_line_dedup_of_a_group_of_any_size(spark):
     assert {(r.n_removed, r.kept == f"{r.doc_id} first") for r in got.collect()} == {(5, True)}
 
 
+def test_line_dedup_of_a_frequent_block_beside_a_rare_line(spark):
+    block, own = [plain.prose(i, 14) for i in range(5)], [plain.prose(100 + i // 2, 8) for i in range(121)]
+    rows = [(i, "\n".join([f"{i} first", own[i], "between", *block]), None, None, None) for i in range(121)]
+    got = line_dedup.without_common_blocks(plain.table(spark, rows, False)).where("doc_id > 0").collect()
+    assert {r.doc_id for r in got if block[0] not in r.kept and block[4] not in r.kept} == set(range(1, 121))
+
+
 @pytest.mark.parametrize("run", [
     exact_dedup.exact_copies, exact_dedup.drop_exact_copies, near_dedup.near_copies, near_dedup.drop_near_copies,
     repeats.without_repeats, line_dedup.without_common_blocks])

@@ -1,9 +1,7 @@
 """Line dedup by pairwise alignment: blocks of lines that an earlier document has are deleted.
 
 Lines (cut at line feeds) are hashed. A line that several documents hold links each of them to the first holder:
-a star, so a line in any number of documents makes as many links, not their square. A document uses
-its rare shared lines for this: those in at most RARE documents and, whatever their number, the rarest
-it has, so that a member of a group of any size finds the group's first. Each linked pair is
+a star, so a line in any number of documents makes as many links, not their square. Each linked pair is
 aligned with patience diff: equal heads and tails, then lines that are unique in both in their longest common order, then
 the same between them. Runs of aligned lines with at least MIN_BLOCK_BYTES bytes are common blocks and are deleted
 from the later document (the larger id).
@@ -25,7 +23,6 @@ from pyspark.sql import functions as F
 from ..workspace import stage
 from .sizes import sent_if_small
 
-RARE = 50
 MIN_LINE_BYTES = 16  # shorter lines link nothing (they can lie in blocks)
 MIN_BLOCK_BYTES = 100
 
@@ -115,15 +112,13 @@ def line_table(keyed: DataFrame) -> DataFrame:
         "key", "doc_id", F.transform("l", lambda x: F.xxhash64(x)).alias("h"), F.transform("l", lambda x: F.octet_length(x)).alias("n"))
 
 
-def linked_pairs(lines: DataFrame, rare: int = RARE) -> DataFrame:
-    """(earlier, later): keys of documents that share a rare line, the earlier one its first holder."""
+def linked_pairs(lines: DataFrame) -> DataFrame:
+    """(earlier, later): keys of documents that share a line, the earlier one its first holder."""
     each = lines.select("key", "doc_id", F.explode(F.arrays_zip("h", "n")).alias("x")).where(F.col("x.n") >= MIN_LINE_BYTES)
     each = each.select("key", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key").alias("place"), F.col("x.h").alias("h")).distinct()
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("first")).where("df > 1")
-    held = stage(each.select("key", "h").join(shared.select("h", "df", F.col("first.key").alias("earlier")), "h"), "shared_lines")
-    rarest = held.groupBy("key").agg(F.min("df").alias("rarest"))
-    pairs = held.join(rarest, "key").where((F.col("df") <= rare) | (F.col("df") == F.col("rarest")))
-    return pairs.where("key != earlier").select("earlier", F.col("key").alias("later")).distinct()
+    held = each.select("key", "h").join(shared.select("h", F.col("first.key").alias("earlier")), "h")
+    return held.where("key != earlier").select("earlier", F.col("key").alias("later")).distinct()
 
 
 def _without(batches):
@@ -143,13 +138,16 @@ def _without(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, k) for v, k in zip(out.values(), kinds))], ["doc_id", *out])
 
 
-def without_common_blocks(docs: DataFrame, rare: int = RARE, least: int = MIN_BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_removed, kept_sha256, kept (the text left)."""
+def without_common_blocks(docs: DataFrame, rare: int | None = None, least: int = MIN_BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_lines, n_removed, kept_sha256, kept (the text left).
+
+    ``rare`` is accepted for older callers and has no effect: no line is too frequent to link.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     lines = stage(line_table(keyed), "lines")
     lines = lines.dropDuplicates(["key"])
-    pairs = stage(linked_pairs(lines, rare), "pairs")
+    pairs = stage(linked_pairs(lines), "pairs")
     both = pairs.join(lines.select(F.col("key").alias("earlier"), F.col("h").alias("a")), "earlier")
     both = both.join(lines.select(F.col("key").alias("later"), "h", "n"), "later")
     both = both.select(F.col("later").alias("key"), F.col("a").alias("earlier"), F.col("h").alias("later"), F.col("n").alias("sizes"))
