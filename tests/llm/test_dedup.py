@@ -209,6 +209,15 @@ def test_line_dedup_of_a_group_of_any_size(spark):
     assert {(r.n_removed, r.kept == f"{r.doc_id} first") for r in got.collect()} == {(5, True)}
 
 
+def test_line_dedup_of_lines_with_other_first_holders(spark):
+    one, two = "a" * 60, "b" * 60
+    short = "\n".join(f"{i} of it" for i in range(20))
+    texts = [f"{one}\nx", f"y\n{two}", f"{one}\n{two}\nz", f"own\n{one}\n{two}", f"{short}\nv", f"w\n{short}"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.kept for r in line_dedup.without_common_blocks(plain.table(spark, rows, False)).collect()}
+    assert got == dict(enumerate([*texts[:3], "own", texts[4], "w"]))
+
+
 def test_line_dedup_of_a_frequent_block_beside_a_rare_line(spark):
     block, own = [plain.prose(i, 14) for i in range(5)], [plain.prose(100 + i // 2, 8) for i in range(121)]
     rows = [(i, "\n".join([f"{i} first", own[i], "between", *block]), None, None, None) for i in range(121)]

@@ -1,7 +1,8 @@
 """Line dedup by pairwise alignment: blocks of lines that an earlier document has are deleted.
 
-Lines (cut at line feeds) are hashed. A line that several documents hold links each of them to the first holder:
-a star, so a line in any number of documents makes as many links, not their square. Each linked pair is
+Lines (cut at line feeds) are hashed, and so are the shortest runs of lines with MIN_BLOCK_BYTES that begin or end at
+each line: every line of a common block is in such a run of the block. A run that several documents hold links each of
+them to the first holder: a star, so a run in any number of documents makes as many links, not their square. Each linked pair is
 aligned with patience diff: equal heads and tails, then lines that are unique in both in their longest common order, then
 the same between them. Runs of aligned lines with at least MIN_BLOCK_BYTES bytes are common blocks and are deleted
 from the later document (the larger id).
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .sizes import sent_if_small
+from .words import mixed
 
-MIN_LINE_BYTES = 16  # shorter lines link nothing (they can lie in blocks)
 MIN_BLOCK_BYTES = 100
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
 def _unique_common(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -112,12 +115,38 @@ def line_table(keyed: DataFrame) -> DataFrame:
         "key", "doc_id", F.transform("l", lambda x: F.xxhash64(x)).alias("h"), F.transform("l", lambda x: F.octet_length(x)).alias("n"))
 
 
-def linked_pairs(lines: DataFrame) -> DataFrame:
-    """(earlier, later): keys of documents that share a line, the earlier one its first holder."""
-    each = lines.select("key", "doc_id", F.explode(F.arrays_zip("h", "n")).alias("x")).where(F.col("x.n") >= MIN_LINE_BYTES)
-    each = each.select("key", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key").alias("place"), F.col("x.h").alias("h")).distinct()
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("first")).where("df > 1")
-    held = each.select("key", "h").join(shared.select("h", F.col("first.key").alias("earlier")), "h")
+def run_keys(h: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Distinct hashes of the shortest runs of lines with ``least`` bytes that begin or end at each line."""
+    total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+    lines = np.arange(len(h))
+    end = np.searchsorted(total, total[:-1] + least)
+    begin = np.searchsorted(total, total[1:] - least, "right") - 1
+    begins, ends = end <= len(h), total[1:] >= least
+    x = np.concatenate([lines[begins], begin[ends]])
+    y = np.concatenate([end[begins], lines[ends] + 1])
+    up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(h), f, np.uint64)])) for f in (_FACTOR, _INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h.astype(np.int64).view(np.uint64) * up[:-1])])
+    return np.unique(mixed((sums[y] - sums[x]) * down[x] + (y - x).astype(np.uint64)).view(np.int64))
+
+
+def _runs_of_lines(least: int):
+    def run(batches):
+        for batch in batches:
+            keys = [run_keys(np.array(h, np.int64), np.array(n, np.int64), least)
+                    for h, n in zip(batch.column("h").to_pylist(), batch.column("n").to_pylist())]
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            runs = pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("doc_id").take(at), runs], ["key", "doc_id", "run"])
+
+    return run
+
+
+def linked_pairs(lines: DataFrame, least: int = MIN_BLOCK_BYTES) -> DataFrame:
+    """(earlier, later): keys of documents that share a run of lines, the earlier one its first holder."""
+    each = lines.select("key", "doc_id", "h", "n").mapInArrow(_runs_of_lines(least), "key long, doc_id long, run long")
+    each = each.select("key", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key").alias("place"), "run")
+    shared = each.groupBy("run").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("first")).where("df > 1")
+    held = each.select("key", "run").join(shared.select("run", F.col("first.key").alias("earlier")), "run")
     return held.where("key != earlier").select("earlier", F.col("key").alias("later")).distinct()
 
 
@@ -147,7 +176,7 @@ def without_common_blocks(docs: DataFrame, rare: int | None = None, least: int =
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     lines = stage(line_table(keyed), "lines")
     lines = lines.dropDuplicates(["key"])
-    pairs = stage(linked_pairs(lines), "pairs")
+    pairs = stage(linked_pairs(lines, least), "pairs")
     both = pairs.join(lines.select(F.col("key").alias("earlier"), F.col("h").alias("a")), "earlier")
     both = both.join(lines.select(F.col("key").alias("later"), "h", "n"), "later")
     both = both.select(F.col("later").alias("key"), F.col("a").alias("earlier"), F.col("h").alias("later"), F.col("n").alias("sizes"))
