@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, repeats, surrogates, token_counts, topk
+from . import byte_bpe, exact_dedup, line_dedup, mixing, near_dedup, periodic, pieces, quality, repeats, surrogates, token_counts, topk, whitening
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,7 @@ def query(sql: str | None = None):
 # Files of public tokenizers; another vocabulary is another path.
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 # The key of the surrogates; a real one comes from a secret store.
@@ -113,3 +114,32 @@ def op4_repeats(spark, sf_dir):
 @query()
 def op9_surrogates(spark, sf_dir):
     return surrogates.pseudonymised(documents(spark, sf_dir), SURROGATE_KEY)
+
+
+@query()
+def op11_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = byte_bpe.load(tokenizer_path(MULTI_BPE))
+    rows = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op12_whitening(spark, sf_dir):
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query()
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(periodic.with_planted_run(documents(spark, sf_dir)))
+    found = found.withColumn("best", periodic.strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
