@@ -135,13 +135,15 @@ def test_words_equal_the_library(bpe):
             assert byte_bpe._merged_long(w.encode(), ranks) == want
 
 
-@pytest.mark.parametrize("block", [1, 2000, byte_bpe.BLOCK_BYTES])
-def test_encoding_equals_the_library(spark, docs, bpe, block):
+@pytest.mark.parametrize("block, parts", [(1, 5), (2000, 3), (byte_bpe.BLOCK_BYTES, None)])
+def test_encoding_equals_the_library(spark, docs, bpe, block, parts, monkeypatch):
+    if parts:
+        monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 50)
     ranks, pattern, library = bpe
     odd = [*plain.odd_rows(), (200, "<|endoftext|> a <|endoftext|>", None, None, None), (201, "tab\tand\r\n\n  spaces   　x", None, None, None),
            (202, "don't we'll I'VE 3rd ½² ﬁ", None, None, None), (203, "=-" * 4000, None, None, None)]
     odd += [(r.doc_id + 1000, r.text, None, None, None) for r in docs.limit(60).collect()]
-    rows = byte_bpe.encode(plain.table(spark, odd), ranks, pattern, block_bytes=block)
+    rows = byte_bpe.encode(plain.table(spark, odd), ranks, pattern, block_bytes=block, parts=parts)
     got = [(r.doc_id, r.ids, bytes(r.decoded)) for r in byte_bpe.decode(rows, ranks).collect()]
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in odd]
     assert sorted(got, key=str) == sorted(want, key=str)
@@ -164,7 +166,13 @@ def test_every_distinct_word_is_encoded_once(spark, bpe, monkeypatch):
         return merged(word, ranks)
 
     monkeypatch.setattr(byte_bpe, "merged", counted)
-    assert len({tuple(r.ids) for r in byte_bpe.encode(df, ranks, pattern, block_bytes=500).collect()}) == 1 and seen.value == 3
+    assert len({tuple(r.ids) for r in byte_bpe.encode(df, ranks, pattern, block_bytes=500, parts=4).collect()}) == 1 and seen.value == 3
+
+
+def test_slots_are_not_shuffled(spark, docs, bpe):
+    ranks, pattern, _ = bpe
+    plan = byte_bpe.encode(docs, ranks, pattern, parts=6)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" not in plan and "Bucketed: true" in plan
 
 
 def test_decoding_of_odd_ids(spark, bpe):

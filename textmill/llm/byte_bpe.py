@@ -1,25 +1,30 @@
 """Byte-level BPE encoding with a global shuffle of distinct words, and decoding.
 
 Texts are cut into pre-tokens by the tokenizer's pattern. Documents are taken in blocks of a few megabytes. Within a block every
-distinct pre-token gets a slot, and a document is the list of its pre-tokens' slots: their places, written in a few bits each. Only
-the words go on: one row for each block and distinct word. The distinct words of all blocks are encoded once each, their
-ids are joined back by word, and meet the documents of their block again, where slots are replaced by ids in order.
+distinct pre-token gets a slot, and a document is the list of its pre-tokens' slots, its places. Only a block's distinct words
+go on, packed by a hash of the word: all blocks' rows of a hash part meet in one task, where each distinct word is
+encoded once, and its ids go back to the blocks that asked. There they are joined by slot, and documents are put
+together in the order of their places.
 
-So what crosses the network is the slots once and a block's dictionary. A word has at most one row per block, however
-frequent it is: no word makes a hot key. A block is a bounded group (a document larger than a block is one of its own).
+The slots are written once, bucketed by block, so they are not shuffled: what crosses the network is a block's dictionary there
+and its ids back, both packed. A word has at most one entry per block,
+however frequent it is: no word makes a hot key. A block is a bounded group (a document larger than a block is one of its own).
+A task remembers at most KNOWN_WORDS words; beyond that it starts anew, which costs time only.
 
 A word that is a token is that token. Any other is merged from its bytes, lowest rank first, leftmost first; long words with a heap.
 Decoding joins the ids with the table of token bytes, whose size is the vocabulary's, inside the tasks.
 
 Defined results. A null text counts as empty and has no ids. Nothing is special: strings that look like special tokens are ordinary
 text. Rows that repeat an id are rows of their own, an empty table gives none. Only the id and the text are read.
-Null ids and ids outside the table decode to nothing, null lists to null.
+Null ids and ids outside the table decode to nothing, null lists to null. A text needs some 60 bytes of memory per pre-token.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..workspace import spread, stage
-from .sizes import unused
+from ..workspace import fresh_path, spread
+from .sizes import input_bytes, unused
 
 BLOCK_BYTES = 8 << 20
+PART_BYTES = 8 << 20  # of input for each hash part of the words
+MOST_PARTS = 50_000
+KNOWN_WORDS = 1_000_000
 AT_ONCE = 1 << 19  # slots or ids that are replaced at once
 LONG_WORD = 64
 
@@ -112,48 +120,57 @@ def taken(values: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> tuple[np.n
     return (np.concatenate(out), np.concatenate(lengths)) if out else (values[:0], np.zeros(0, np.int64))
 
 
-def _packed(slots: np.ndarray) -> bytes:
-    """Four bytes a slot, all lowest ones first: mostly zeros, which compress."""
-    return slots.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Four bytes a number, all lowest ones first, compressed; the size comes before."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return _shrunk(planes)
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_grown(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-# --- encoding -----------------------------------------------------------------------------------
+def _shrunk(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
 
-_CUT = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("slots", T.BinaryType()),
-    T.StructField("words", T.ArrayType(T.StringType())),
-])
+def _grown(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
 
-def _cutter(pattern: str, block_bytes: int):
-    """Rows of documents with their slots; the last row of a block holds its words by slot."""
+# --- encoding -----------------------------------------------------------------------------------
+
+# One row of a block holds its documents, the others the words of one hash part, by rising slot.
+_CUT = "block long, part int, doc_ids array<long>, counts array<int>, slots binary, words binary"
+_CUT_KIND = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
+                       ("slots", pa.binary()), ("words", pa.binary())])
+_BETWEEN = b"\xff"  # in no UTF-8 text
+
+
+def _cutter(pattern: str, parts: int, block_bytes: int):
+    def block_rows(block: int, ids: list, slots: list[np.ndarray], known: dict[str, int]) -> list[dict]:
+        every = np.concatenate(slots)
+        order = np.argsort(-np.bincount(every, minlength=len(known)), kind="stable")  # frequent words first: small slots
+        slot = np.empty(len(known), np.int64)
+        slot[order] = np.arange(len(known))
+        words = [w.encode() for w in known]
+        words = [words[i] for i in order]
+        part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+        by_part = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[by_part], prepend=-1))
+        rows = [{"block": block, "doc_ids": ids, "counts": [len(s) for s in slots], "slots": _packed(slot[every])}]
+        for own in np.split(by_part, cuts[1:]) if len(words) else []:
+            rows.append({"block": block, "part": int(part[own[0]]), "slots": _packed(np.diff(own, prepend=0)),
+                         "words": _shrunk(_BETWEEN.join([words[i] for i in own]))})
+        return rows
 
     def run(batches):
         import regex
 
         cut = regex.compile(pattern).findall
-        first = TaskContext.get().partitionId() << 32  # blocks of a task have numbers of their own
-        block, size, ids, slots = first, 0, [], []
+        block, size, ids, slots = TaskContext.get().partitionId() << 32, 0, [], []  # blocks of a task have numbers of their own
         known: dict[str, int] = {}
-
-        def closed() -> pa.RecordBatch:
-            # Slots by falling frequency, so that most are small.
-            count = np.bincount(np.concatenate(slots), minlength=len(known))
-            order = np.argsort(-count, kind="stable")
-            slot = np.empty(len(known), np.int64)
-            slot[order] = np.arange(len(known))
-            words = list(known)
-            return pa.RecordBatch.from_arrays([
-                pa.array([block] * (len(ids) + 1), pa.int64()), pa.array([*ids, None], pa.int64()),
-                pa.array([*(_packed(slot[s]) for s in slots), None], pa.binary()),
-                pa.array([*([None] * len(ids)), [words[i] for i in order]], pa.list_(pa.string())),
-            ], _CUT.names)
-
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
@@ -164,50 +181,71 @@ def _cutter(pattern: str, block_bytes: int):
                 slots.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
                 size += len(text)
                 if size >= block_bytes:
-                    yield closed()
+                    yield pa.RecordBatch.from_pylist(block_rows(block, ids, slots, known), _CUT_KIND)
                     block, size, ids, slots = block + 1, 0, [], []
                     known.clear()
         if ids:
-            yield closed()
+            yield pa.RecordBatch.from_pylist(block_rows(block, ids, slots, known), _CUT_KIND)
 
     return run
 
 
 def _reassembled(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """Documents of one block with the ids of its words in place of the slots."""
-    order = np.argsort(words.column("slot").to_numpy(), kind="stable")
-    lists = words.column("ids").combine_chunks()
-    values, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-    values, length = taken(values, bounds, order)
-    bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-    out, total = [], [0]
-    for packed in docs.column("slots"):
-        got, _ = taken(values, bounds, _unpacked(packed.as_py()))
-        out.append(got)
-        total.append(total[-1] + len(got))
-    flat = np.concatenate(out) if out else values
-    ids = pa.ListArray.from_arrays(pa.array(total, pa.int32()), pa.array(flat, pa.int32()))
-    return pa.table([docs.column("doc_id"), ids], ["doc_id", "ids"])
-
-
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, ids: one row per row of ``docs``. ``pattern`` cuts texts into pre-tokens."""
+    """Documents of one block: the ids of its words in place of the slots."""
+    def column(name: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(_unpacked(x.as_py()) for x in words.column(name))])
+
+    slot = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(_unpacked(x.as_py())) for x in words.column("slots"))])
+    values, length = column("ids").astype(np.int32), column("lengths")
+    values, length = taken(values, np.concatenate([[0], np.cumsum(length)]), np.argsort(slot, kind="stable"))
+    bounds = np.concatenate([[0], np.cumsum(length)])
+    values, length = taken(values, bounds, _unpacked(docs.column("slots")[0].as_py()))
+    counts = docs.column("counts").combine_chunks().flatten().to_numpy()
+    ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])]
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+    return pa.table([docs.column("doc_ids").combine_chunks().flatten(), ids], ["doc_id", "ids"])
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, block_bytes: int = BLOCK_BYTES, parts: int | None = None) -> DataFrame:
+    """doc_id, ids: one row per row of ``docs``. ``pattern`` cuts texts into pre-tokens; ``parts`` is the
+    number of tasks that encode words, by default set by the size of the input that Spark estimates."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def encoded(batches):
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            ids = [merged(w.encode(), sent.value) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            ids, lengths = [], []
+            for packed in batch.column("words"):
+                words = _grown(packed.as_py()).split(_BETWEEN)
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                for w in words:
+                    if w not in known:
+                        known[w] = merged(w, sent.value)
+                found = [known[w] for w in words]
+                lengths.append(_packed(np.fromiter(map(len, found), np.int64, len(found))))
+                ids.append(_packed(np.fromiter((i for f in found for i in f), np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("words_of"), batch.column("slots"), pa.array(lengths, pa.binary()), pa.array(ids, pa.binary())],
+                ["words_of", "slots", "lengths", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = stage(spread(rows).mapInArrow(_cutter(pattern, block_bytes), _CUT), "slots")
-    words = cut.where(F.col("words").isNotNull()).select(F.col("block").alias("words_of"), F.posexplode("words").alias("slot", "word"))
-    table = words.select("word").distinct().mapInArrow(encoded, "word string, ids array<int>")
-    back = words.join(table, "word").select("words_of", "slot", "ids")
-    held = cut.where(F.col("slots").isNotNull()).select("block", "doc_id", "slots")
+    if parts is None:
+        parts = max(1, min(MOST_PARTS, -(-input_bytes(rows) // PART_BYTES)))
+    cut = _bucketed(spread(rows).mapInArrow(_cutter(pattern, parts, block_bytes), _CUT), parts)
+    words = cut.where(F.col("part").isNotNull()).select(F.col("block").alias("words_of"), "part", "slots", "words")
+    back = words.repartition(parts, "part").mapInArrow(encoded, "words_of long, slots binary, lengths binary, ids binary")
+    held = cut.where(F.col("part").isNull()).select("block", "doc_ids", "counts", "slots")
     return held.groupBy("block").cogroup(back.groupBy("words_of")).applyInArrow(_reassembled, "doc_id long, ids array<int>")
 
 
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` written by block, as a table of a name nobody else has in the shared folder."""
+    name = f"slots_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", fresh_path(df.sparkSession, "slots")).bucketBy(buckets, "block").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 # --- decoding -----------------------------------------------------------------------------------
 
 

@@ -20,3 +20,13 @@ def unused(name: str, df: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+# Estimates beyond this are Spark's way to say that it does not know.
+UNKNOWN_BYTES = 1 << 50
+
+
+def input_bytes(df: DataFrame, text: str = "text") -> int:
+    """About how many bytes ``df`` has: the size of its files as Spark estimates it, else the counted bytes of ``text``."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < UNKNOWN_BYTES else df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
