@@ -8,23 +8,35 @@ so ordering pairs as strings breaks ties as (left id, right id) would.
 
 from __future__ import annotations
 
+import heapq
 import json
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let, nfkc, pretokens
-from ..workspace import Rewritten, staging
+from ..workspace import Rewritten, stage, staging
 
 # Special tokens in id order, and the roles of some of them.
 SPECIAL_TOKENS = ("<unk>", "<s>", "</s>", "<|im_start|>", "<|im_end|>")
 UNK_ID, BOS_ID, EOS_ID = 0, 1, 2
 PAD_ID = EOS_ID
 
-# Pairs looked at per round, and merges applied on top of a written word table.
-TOP_PAIRS = 2_000
-STAGE_AFTER = 24
+# Merges tried in a round, at least and at most, and pairs whose counts the driver follows.
+ROUND_MERGES = (4, 64)
+FOLLOWED_PAIRS = 200_000
+# The words and their index are written anew after so many merges, or when the rounds since have read
+# so many times the index.
+STAGE_AFTER = 256
+REREAD = 2
+# Rows of the index in a folder, about, and folders at most.
+FOLDER_ROWS = 100_000
+FOLDERS = 2_048
 
 _FIRST_MERGED = 0x10000
 
@@ -83,12 +95,22 @@ def pair_count(words: DataFrame) -> DataFrame:
     return pairs.groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
+@dataclass
+class Round:
+    """A job of training: how many merges it applied, and how many rows of the index or word table it read for them."""
+
+    merges: int
+    rows: int
+    whole: bool = False  # all words were read and the index written
+
+
 @dataclass
 class Vocabulary:
     """Tokens by id and merges in rank order; a result of bounded size."""
 
     tokens: list[str] = field(default_factory=lambda: list(SPECIAL_TOKENS))
     merges: list[tuple[int, int, int]] = field(default_factory=list)
+    rounds: list[Round] = field(default_factory=list, compare=False)
 
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.tokens)), "id int, token string")
@@ -132,6 +154,10 @@ class _Symbols:
         token = self.vocab.tokens[token_id]
         return token if len(token) == 1 else chr(_FIRST_MERGED + token_id)
 
+    @staticmethod
+    def char_of_new(token_id: int) -> str:
+        return chr(_FIRST_MERGED + token_id)
+
     def joined(self, pair: str) -> str:
         return "".join(self.vocab.tokens[self.id_of(c)] for c in pair)
 
@@ -146,98 +172,282 @@ class _Symbols:
         return pair, self.char_of(new_id)
 
 
-def choose_batch(ranked: list[tuple[str, int]], symbols: _Symbols) -> list[str]:
-    """The longest run of best pairs that one-by-one merging would take in this order.
-
-    Pairs whose left symbols are no other pair's right symbol never overlap in a word, so merging
-    one leaves the others' counts alone. A pair that a merge creates is no more frequent than the
-    pair it comes from, which is outside the run; so a run pair strictly more frequent than the
-    first pair outside is also ahead of everything new. One exactly as frequent is, too, unless a
-    pair outside with that count can turn into a new pair that sorts before it. A pair of equal
-    symbols, and one that gives a token which exists already, go alone: they can raise counts of
-    other pairs.
-    """
-    lefts, rights, made = set(), set(), set()
-    run: list[tuple[str, int]] = []
-    last = bound = ranked[-1][1]  # pairs that were not fetched are no more frequent than this
-    for pair, n in ranked:
-        left, right = pair
+def guessed(ranked: list[tuple[str, int]], symbols: _Symbols) -> list[str]:
+    """The best pairs, up to one whose token exists already: it raises counts of pairs that are there, so it goes alone."""
+    out, made = [], set()
+    for pair, _ in ranked:
         token = symbols.joined(pair)
-        alone = left == right or token in symbols.id_of_token
-        if alone or token in made or left in rights or right in lefts:
-            bound = n
+        if token in symbols.id_of_token or token in made:
             break
-        run.append((pair, n))
-        lefts.add(left), rights.add(right), made.add(token)
-    taken = {pair for pair, _ in run}
-    rivals = [q for q, n in ranked if n == bound and q not in taken and q[1] in lefts]
-    first_rival = min((q[0] for q in rivals), default=None)
-    # Equal counts at the end of the fetched list are left for the next round.
-    sure = [
-        pair for pair, n in run
-        if n > bound or (bound > last and (first_rival is None or pair[0] <= first_rival))
-    ]
-    return sure or [ranked[0][0]]
-
-
-def merged(sym: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply merges in order. They are one literal, so the plan and its generated code are the
-    same in every round."""
-    table = F.split(F.lit("\n".join(pair + char for pair, char in merges)), "\n")
-    return F.aggregate(
-        table, sym, lambda word, m: F.replace(word, F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(3)))
-    )
-
-
-def updated_pairs(words: DataFrame, pairs: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """Pair counts after ``merges``, from the counts before and the words that change."""
-    if not merges:
-        return pairs
-    both = let(F.struct("sym", "freq", merged(F.col("sym"), merges).alias("new")), lambda w: F.when(
-        w["new"] != w["sym"],
-        F.array(F.struct(w["sym"].alias("word"), (-w["freq"]).alias("n")),
-                F.struct(w["new"].alias("word"), w["freq"].alias("n"))),
-    ))
-    # The outer form: for the inner one Spark adds a filter that computes the array once more.
-    changed = words.select(F.inline_outer(both)).where("word IS NOT NULL")
-    delta = changed.select(F.explode_outer(pairs_of(F.col("word"))).alias("pair"), "n").where("pair IS NOT NULL")
-    return pairs.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+        out.append(pair)
+        made.add(token)
+    return out or [ranked[0][0]]
+
+
+# A batch of words is one text with a line per word, so a merge is one ``replace`` for all of them.
+
+
+def _applied(text: str, merges: list[tuple[str, str]]) -> str:
+    for pair, char in merges:
+        text = text.replace(pair, char)
+    return text
+
+
+def _places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring symbols within words as numbers, and the word each is in."""
+    code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    ends = code == ord("\n")
+    inner = ~(ends[:-1] | ends[1:])
+    return (code[:-1] << 32 | code[1:])[inner], np.cumsum(ends)[:-1][inner]
+
+
+def _pair_strings(keys: np.ndarray) -> list[str]:
+    text = np.stack([keys >> 32, keys & 0xFFFFFFFF], 1).astype("<u4").tobytes().decode("utf-32-le")
+    return [text[i : i + 2] for i in range(0, len(text), 2)]
+
+
+def _pair_sums(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    n = np.add.reduceat(n, first) if len(first) else n
+    pairs = _pair_strings(keys[first][n != 0])
+    return pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array(n[n != 0], pa.int64())], ["pair", "n"])
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("pair").agg(F.sum("n").alias("n")).where("n != 0")
+
+
+def _counted(words: DataFrame) -> DataFrame:
+    """``pair_count`` of symbol words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, word = _places("\n".join(batch.column("sym").to_pylist()))
+            yield _pair_sums(keys, batch.column("freq").to_numpy()[word])
+
+    return _summed(words.mapInArrow(run, "pair string, n long"))
+
+
+def _rewritten(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The words after ``merges``; those that are one symbol go."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _applied("\n".join(batch.column("sym").to_pylist()), merges).split("\n")
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column("freq")], ["sym", "freq"])
+
+    return words.mapInArrow(run, "sym string, freq long").where(F.char_length("sym") > 1)
+
+
+def _folder(pair: str, folders: int) -> int:
+    return zlib.crc32(pair.encode()) % folders
+
+
+def _holders(words: DataFrame, folders: int) -> DataFrame:
+    """A row for each word and distinct pair in it: folder, pair, sym, freq."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, word = _places("\n".join(batch.column("sym").to_pylist()))
+            own, pair = np.unique(keys, return_inverse=True)
+            both = np.unique(word * max(1, len(own)) + pair)
+            word, pair = both // max(1, len(own)), both % max(1, len(own))
+            names = _pair_strings(own)
+            folder = np.array([_folder(p, folders) for p in names], np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(folder[pair], pa.int32()), pa.array(names, pa.string()).take(pa.array(pair)), batch.column("sym").take(pa.array(word)),
+                 batch.column("freq").take(pa.array(word))], ["folder", "pair", "sym", "freq"])
+
+    return words.mapInArrow(run, "folder int, pair string, sym string, freq long")
+
+
+def _changes(found: DataFrame, keys: list[str], since: list[tuple[str, str]], merges: list[tuple[str, str]]) -> DataFrame:
+    """Differences of pair counts that each of ``merges`` makes, one after the other, in words that are behind by ``since``.
+
+    A word that several keys find counts under the first of them.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sym, pair = batch.column("sym").to_pylist(), batch.column("pair").to_pylist()
+            own = [i for i, (s, p) in enumerate(zip(sym, pair)) if next(k for k in keys if k in s) == p]
+            freq = batch.column("freq").to_numpy()[own]
+            words = _applied("\n".join([sym[i] for i in own]), since).split("\n")
+            for step, merge in enumerate(merges):
+                held = [i for i, w in enumerate(words) if merge[0] in w]
+                if held:
+                    old = "\n".join([words[i] for i in held])
+                    new = _applied(old, [merge])
+                    for i, w in zip(held, new.split("\n")):
+                        words[i] = w
+                    before, after, n = _places(old), _places(new), freq[held]
+                    sums = _pair_sums(np.concatenate([before[0], after[0]]), np.concatenate([-n[before[1]], n[after[1]]]))
+                    yield pa.RecordBatch.from_arrays([pa.array([step] * len(sums), pa.int32()), *sums.columns], ["step", "pair", "n"])
+
+    return found.mapInArrow(run, "step int, pair string, n long").groupBy("step", "pair").agg(F.sum("n").alias("n")).where("n != 0")
+
+
+class PairCounts:
+    """Counts of the most frequent pairs; any pair not among them occurs at most ``floor`` times.
+
+    Counts fall as symbols are merged away; a pair that a merge creates is new, and all its
+    occurrences are in the difference that is added. So ``floor`` holds until the pairs are counted anew.
+    """
+
+    def __init__(self, ranked: list[tuple[str, int]], floor: int):
+        self.floor, self.n = floor, dict(ranked)
+        self.waiting = [(-n, pair) for pair, n in ranked]  # a heap: the rows come in this order
+
+    def add(self, pair: str, n: int) -> None:
+        n += self.n.pop(pair, 0)
+        if n > self.floor:
+            self.n[pair] = n
+            heapq.heappush(self.waiting, (-n, pair))
+
+    def best(self, k: int) -> list[tuple[str, int]]:
+        """The k most frequent pairs, ties by pair. Outdated entries of the heap go on the way."""
+        out: dict[str, int] = {}
+        while self.waiting and len(out) < k:
+            n, pair = heapq.heappop(self.waiting)
+            if self.n.get(pair) == -n:
+                out[pair] = -n
+        for pair, n in out.items():
+            heapq.heappush(self.waiting, (-n, pair))
+        return list(out.items())
+
+
+class WordIndex:
+    """The words, and for each pair the words that hold it, in folders by a hash of the pair.
+
+    Words stand as they were when the index was written. A word that holds a pair now held then all
+    pairs inside it, so the rarest of these finds it, and the merges since bring it up to date. The
+    index is not touched by merges; it is written anew when many have gathered.
+    """
+
+    def __init__(self, words: DataFrame, min_frequency: int):
+        self.min_frequency = min_frequency
+        self.tasks = words.sparkSession.sparkContext.defaultParallelism
+        self.words = Rewritten(words.where(F.char_length("sym") > 1).repartition(self.tasks), "words")
+        self.since: list[tuple[str, str]] = []
+        self.table: Rewritten | None = None
+        self._write()
+
+    def _write(self) -> None:
+        words = self.words.df
+        rows = words.count()
+        self.folders = max(1, min(FOLDERS, rows * 8 // FOLDER_ROWS))
+        held = _holders(words, self.folders)
+        # By range with a hash of the word last: a frequent pair is many ranges.
+        order = ["folder", "pair", F.xxhash64("sym")]
+        ranges = max(self.tasks * 16, rows * 8 // FOLDER_ROWS)
+        held = held.repartitionByRange(ranges, *order).sortWithinPartitions("folder", "pair")
+        if self.table is None:
+            self.table = Rewritten(held, "pair_index", ("folder",))
+        else:
+            self.table.replace(held)
+        self.rows, self.read = self.table.df.count(), 0
+        counted = _counted(words).where(F.col("n") >= self.min_frequency).orderBy(F.desc("n"), "pair").limit(FOLLOWED_PAIRS)
+        ranked = [(r.pair, r.n) for r in counted.collect()]
+        complete = len(ranked) < FOLLOWED_PAIRS
+        self.counts = PairCounts(ranked, self.min_frequency - 1 if complete else ranked[-1][1])
+        self.complete, self.fresh = complete, True
+        self.at_writing = dict(ranked)
+        self.inside: dict[str, str] = {}  # symbols made since then as the symbols of then
+        self.words_read = rows
+
+    def renew(self) -> None:
+        """Bring the written words up to date, index them and count their pairs."""
+        self.words.replace(_rewritten(self.words.df, self.since))
+        self.since = []
+        self._write()
+
+    def due(self) -> bool:
+        return len(self.since) >= STAGE_AFTER or self.read > REREAD * self.rows
+
+    def _key(self, pair: str) -> str:
+        """The rarest pair, when the index was written, that every word with ``pair`` held then."""
+        then = "".join(self.inside.get(c, c) for c in pair)
+        inner = [then[i : i + 2] for i in range(len(then) - 1)]
+        return min(inner, key=lambda p: (self.at_writing.get(p, self.counts.floor), p))
+
+    def changes(self, merges: list[tuple[str, str]]) -> tuple[list[list[tuple[str, int]]], int]:
+        """By merge, what it changes in the pair counts after those before it; and the rows read.
+
+        A merge changes only pairs with one of its three symbols, so the differences are bounded by
+        the vocabulary, not by the words.
+        """
+        keys = sorted({self._key(pair) for pair, _ in merges})
+        folders = sorted({_folder(k, self.folders) for k in keys})
+        found = self.table.df.where(F.col("folder").isin(folders) & F.col("pair").isin(keys))
+        seen = Observation()
+        found = found.observe(seen, F.count(F.lit(1)).alias("rows"))
+        steps: list[list[tuple[str, int]]] = [[] for _ in merges]
+        for r in _changes(found, keys, list(self.since), merges).collect():
+            steps[r.step].append((r.pair, r.n))
+        self.read += seen.get["rows"]
+        return steps, seen.get["rows"]
+
+    def apply(self, merge: tuple[str, str], changes: list[tuple[str, int]]) -> None:
+        for pair, n in changes:
+            self.counts.add(pair, n)
+        pair, char = merge
+        self.inside[char] = "".join(self.inside.get(c, c) for c in pair)
+        self.since.append(merge)
+        self.fresh = False
 
 
 def train_bpe(words: DataFrame, vocab_size: int = 12_000, min_frequency: int = 2) -> Vocabulary:
-    """Train on ``word, freq``. Only the best pairs of a round and the vocabulary reach the driver.
+    """Train on ``word, freq``.
 
-    Each round is one job over the last written word table: words that the merges since then
-    change give count differences, which are added to the written pair counts. The tables are
-    written anew every ``STAGE_AFTER`` merges.
+    A round guesses that the best pairs are merged in their order, reads the words that hold one of them and learns
+    what each merge changes. Merges count as long as each is the best pair after those before it; the rest of the guess is
+    dropped. Only the counts of the most frequent pairs, their changes and the vocabulary reach the
+    driver; ``rounds`` says what was read.
     """
-    tasks = words.sparkSession.sparkContext.defaultParallelism
     with staging(words.sparkSession):
-        return _trained(symbol_words(words).repartition(tasks), vocab_size, min_frequency)
+        return _trained(stage(symbol_words(words), "symbols"), vocab_size, min_frequency)
 
 
 def _trained(words: DataFrame, vocab_size: int, min_frequency: int) -> Vocabulary:
-    word_table = Rewritten(words, "words")
-    pair_table = Rewritten(pair_count(word_table.df), "pairs")
-    words, pairs = word_table.df, pair_table.df
     vocab = Vocabulary()
     vocab.tokens += sorted(r.token for r in alphabet(words).collect())
     symbols = _Symbols(vocab)
-    since: list[tuple[str, str]] = []
+    index = WordIndex(words, min_frequency)
+    vocab.rounds.append(Round(0, index.words_read, True))
+    tried = ROUND_MERGES[0]
+
+    def renew() -> None:
+        merges = len(index.since)
+        index.renew()
+        vocab.rounds.append(Round(merges, index.words_read, True))
+
     while len(vocab.tokens) < vocab_size:
-        if len(since) >= STAGE_AFTER:
-            pairs = pair_table.replace(updated_pairs(words, pairs, since))
-            words = word_table.replace(words.select(merged(F.col("sym"), since).alias("sym"), "freq"))
-            since = []  # one file per task is kept, so the tables stay spread
-        best = (
-            updated_pairs(words, pairs, since).where(F.col("n") >= min_frequency)
-            .orderBy(F.desc("n"), "pair").limit(TOP_PAIRS).collect()
-        )
-        if not best:
+        ranked = index.counts.best(tried)
+        # Pairs that are not followed may be as frequent as the floor; right after counting, ties are in order.
+        known = ranked and (ranked[0][1] > index.counts.floor or index.fresh)
+        if not known and index.complete:
+            break
+        if not known or index.due():
+            renew()
+            continue
+        guess = guessed(ranked, symbols)
+        if symbols.joined(guess[0]) in symbols.id_of_token:
+            index.since.append(symbols.add(guess[0]))
+            renew()
+            continue
+        if len(vocab.tokens) + 1 == vocab_size:
+            symbols.add(guess[0])  # nobody asks what the last merge changes
             break
-        for pair in choose_batch([(r.pair, r.n) for r in best], symbols):
-            if len(vocab.tokens) < vocab_size:
-                since.append(symbols.add(pair))
+        first = len(vocab.tokens)
+        steps, rows = index.changes([(pair, symbols.char_of_new(first + i)) for i, pair in enumerate(guess)])
+        done = 0
+        for pair, changes in zip(guess, steps):
+            best = index.counts.best(1)
+            if len(vocab.tokens) >= vocab_size or done and (not best or best[0][0] != pair or best[0][1] <= index.counts.floor):
+                break
+            index.apply(symbols.add(pair), changes)
+            done += 1
+        vocab.rounds.append(Round(done, rows))
+        tried = min(max(2 * done, ROUND_MERGES[0]), ROUND_MERGES[1])
     return vocab
 
 

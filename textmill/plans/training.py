@@ -11,7 +11,7 @@ from ..operators.order import block_sequence, position
 from ..operators.sinks import write_shards
 from ..operators.vocab import Vocabulary, pretoken_freq, save_vocabulary, train_bpe
 from ..sources.samples import chat_samples, pretrain_samples, tokenizer_texts
-from ..workspace import stage, staging
+from ..workspace import spread, stage, staging
 
 SAMPLE_BLOCK = ["file_class", "file_parts", "blk"]
 
@@ -20,7 +20,7 @@ def train_tokenizer(
     spark: SparkSession, data_dir: str, out_dir: str, vocab_size: int = 12_000, min_frequency: int = 2
 ) -> Vocabulary:
     """Train on the text files of a folder and save the vocabulary."""
-    vocab = train_bpe(pretoken_freq(tokenizer_texts(spark, data_dir)), vocab_size, min_frequency)
+    vocab = train_bpe(pretoken_freq(spread(tokenizer_texts(spark, data_dir))), vocab_size, min_frequency)
     save_vocabulary(spark, vocab, out_dir)
     return vocab
 

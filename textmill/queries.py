@@ -14,7 +14,7 @@ from .functions import text as X
 from .operators import convert, dedupe, encode, feed, order, report, sinks, vocab
 from .plans import corpus, training
 from .sources import files, samples
-from .workspace import fresh_path, stage
+from .workspace import fresh_path, spread, stage
 
 MIN_CHARS = 80
 BUDGET = "1MB"
@@ -570,7 +570,7 @@ def trained(spark, sf_dir) -> vocab.Vocabulary:
     """The vocabulary of the documents, trained once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = vocab.train_bpe(vocab.pretoken_freq(documents(spark, sf_dir)), VOCAB_SIZE)
+        _TRAINED[key] = vocab.train_bpe(vocab.pretoken_freq(spread(documents(spark, sf_dir))), VOCAB_SIZE)
     return _TRAINED[key]
 
 

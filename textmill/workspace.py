@@ -45,11 +45,11 @@ class _Staged:
 _block: ContextVar[_Staged | None] = ContextVar("textmill_staged", default=None)
 
 
-def _write(df: DataFrame, name: str, block: _Staged | None) -> tuple[DataFrame, str]:
+def _write(df: DataFrame, name: str, block: _Staged | None, folders: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
     path = fresh_path(df.sparkSession, name)
     if block is not None:
         block.paths.append(path)  # before the write: a failed one leaves files, too
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -90,15 +90,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 class Rewritten:
-    """A table that is written again and again; a version goes as soon as its successor is written."""
+    """A table that is written again and again; a version goes as soon as its successor is written.
 
-    def __init__(self, df: DataFrame, name: str):
-        self.name = name
-        self.df, self._path = _write(df, name, _block.get())
+    ``folders`` names columns whose values are folders of their own, which a filter on them leaves unread.
+    """
+
+    def __init__(self, df: DataFrame, name: str, folders: tuple[str, ...] = ()):
+        self.name, self.folders = name, folders
+        self.df, self._path = _write(df, name, _block.get(), folders)
 
     def replace(self, df: DataFrame) -> DataFrame:
         old = self._path
-        self.df, self._path = _write(df, self.name, _block.get())
+        self.df, self._path = _write(df, self.name, _block.get(), self.folders)
         _delete(df.sparkSession, old)
         return self.df
 
