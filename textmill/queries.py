@@ -507,10 +507,17 @@ def sft_layout(spark, sf_dir):
 # --- vocabulary ----------------------------------------------------------------------------------------
 
 _W = r"\t\n\x0b\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-# RE2 has no look-ahead: chr(1) is put before the last blank of a run that a word follows.
-PRETOKENS = rf"""pieces AS (SELECT unnest(regexp_extract_all(
-    regexp_replace(text, '([{_W}])([{_W}][^{_W}])', '\1' || chr(1) || '\2', 'g'),
-    '''s|''t|''re|''ve|''m|''ll|''d| ?\pL+| ?\pN+| ?[^{_W}\pL\pN\x01]+|[{_W}]+|\x01')) AS word FROM documents),
+
+
+def sql_pretokens(text: str) -> str:
+    """A list in which chr(1) has to be left out: RE2 has no look-ahead, so one is put before the last blank of
+    a run that a word follows."""
+    return rf"""regexp_extract_all(
+    regexp_replace({text}, '([{_W}])([{_W}][^{_W}])', '\1' || chr(1) || '\2', 'g'),
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\pL+| ?\pN+| ?[^{_W}\pL\pN\x01]+|[{_W}]+|\x01')"""
+
+
+PRETOKENS = rf"""pieces AS (SELECT unnest({sql_pretokens('text')}) AS word FROM documents),
 words AS (SELECT word, count(*) AS freq FROM pieces WHERE word <> chr(1) GROUP BY word)"""
 
 
@@ -594,21 +601,78 @@ def bpe_vocab(spark, sf_dir):
 
 # --- encoding --------------------------------------------------------------------------------------------
 
-@query()
+SAMPLE_LENGTH = 512
+
+
+def sql_encoded(rows: str) -> str:
+    """``encoded``: k and ids of every row (k, text) of ``rows``, by the merges of ``TRAINED``.
+
+    Special tokens are cut out first: of the parts at chr(2) every second one is the id of a special
+    token. The merges are applied in rank order to each distinct word, and words are joined back by
+    place. The texts' only character that NFKC changes is the wide colon.
+    """
+    marked = "replace(text, '：', ':')"
+    for i, token in enumerate(vocab.SPECIAL_TOKENS):
+        marked = f"replace({marked}, '{token}', chr(2) || '{i}' || chr(2))"
+    return rf"""cut_rows AS (SELECT k, string_split({marked}, chr(2)) AS parts FROM {rows}),
+parts AS (SELECT k, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS part FROM cut_rows),
+part_words AS (SELECT k, i, [w FOR w IN {sql_pretokens('part')} IF w <> chr(1)] AS ws FROM parts WHERE i % 2 = 1),
+places_of AS (SELECT k, i, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM part_words),
+to_code AS (SELECT DISTINCT word FROM places_of),
+coded_bytes AS (SELECT word, i, substr(hex(encode(word)), CAST(2 * i + 1 AS BIGINT), 2) AS byte FROM (
+  SELECT word, unnest(range(0, octet_length(encode(word)))) AS i FROM to_code)),
+coded AS (
+  SELECT 0 AS step, word, string_agg('<' || coalesce(id, {vocab.UNK_ID}) || '>', '' ORDER BY i) AS sym
+  FROM coded_bytes LEFT JOIN alphabet USING (byte) GROUP BY word UNION ALL
+  SELECT step + 1, word, replace(sym, '<' || l || '><' || r || '>', '<' || new_id || '>') FROM coded JOIN merges ON rank = step),
+word_ids AS (SELECT word, [CAST(x AS INTEGER) FOR x IN regexp_extract_all(sym, '[0-9]+')] AS ids
+  FROM coded WHERE step = (SELECT count(*) FROM merges)),
+pieces_of AS (SELECT k, i, j, ids FROM places_of JOIN word_ids USING (word) UNION ALL
+  SELECT k, i, 0, [CAST(part AS INTEGER)] FROM parts WHERE i % 2 = 0),
+joined_ids AS (SELECT k, flatten(list(ids ORDER BY i, j)) AS ids FROM pieces_of GROUP BY k),
+encoded AS (SELECT k, coalesce(ids, []) AS ids FROM {rows} LEFT JOIN joined_ids USING (k))"""
+
+
+def sql_documents_laid_out(length: int) -> str:
+    """``laid_out``: k, input_ids and labels of ``encoded``."""
+    return f"""filled AS (SELECT k, list_resize((list_concat([{vocab.BOS_ID}], ids[1:{length - 2}], [{vocab.EOS_ID}]))[1:{length + 1}],
+  {length + 1}, {vocab.PAD_ID}) AS ids FROM encoded),
+laid_out AS (SELECT k, array_to_string(ids[1:{length}], ',') AS input_ids,
+  array_to_string([CASE WHEN v = {vocab.PAD_ID} THEN -100 ELSE v END FOR v IN ids[2:{length + 1}]], ',') AS labels FROM filled)"""
+
+
+def sql_chats_laid_out(length: int, chat: str, turn: str, role: str) -> str:
+    """The same of ``encoded`` turns: the three are taken from a turn's k."""
+    last = length + 1
+    return f"""turn_ids AS (SELECT {chat} AS chat, {turn} AS turn, {role} AS role, ids[1:{last}] AS ids FROM encoded),
+chat_ids AS (SELECT chat, flatten(list(ids ORDER BY turn)) AS ids, flatten(list(
+  CASE WHEN role = 'assistant' THEN ids ELSE [-100 FOR v IN ids] END ORDER BY turn)) AS marks FROM turn_ids GROUP BY chat),
+filled AS (SELECT chat, list_resize((list_concat([{vocab.BOS_ID}], ids, [{vocab.EOS_ID}]))[1:{last}], {last}, {vocab.PAD_ID}) AS ids,
+  list_resize((list_concat([-100], marks, [{vocab.EOS_ID}]))[1:{last}], {last}, -100) AS marks FROM chat_ids),
+laid_out AS (SELECT chat AS k, array_to_string(ids[1:{length}], ',') AS input_ids, array_to_string(marks[2:{last}], ',') AS labels FROM filled)"""
+
+
+@query(f"""WITH RECURSIVE {TRAINED}, texts_in AS (SELECT doc_id AS k, text FROM documents), {sql_encoded('texts_in')},
+{sql_documents_laid_out(SAMPLE_LENGTH)} SELECT k AS doc_id, input_ids, labels FROM laid_out""")
 def encode_text(spark, sf_dir):
     enc = encode.encoder(spark, trained(spark, sf_dir))
-    out = encode.encode_documents(documents(spark, sf_dir).select("doc_id", "text"), enc, 512)
+    out = encode.encode_documents(documents(spark, sf_dir).select("doc_id", "text"), enc, SAMPLE_LENGTH)
     return out.select("doc_id", shown(F.col("input_ids")).alias("input_ids"), shown(F.col("labels")).alias("labels"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAINED}, turns_in AS (
+  SELECT {{'chat': conv_id, 'turn': turn, 'role': role}} AS k, {sql_turn('role', 'text')} AS text FROM conversations),
+{sql_encoded('turns_in')}, {sql_chats_laid_out(SAMPLE_LENGTH, 'k.chat', 'k.turn', 'k.role')}
+SELECT k AS conv_id, input_ids, labels FROM laid_out""")
 def encode_chat(spark, sf_dir):
     enc = encode.encoder(spark, trained(spark, sf_dir))
-    out = encode.encode_turns(conversations(spark, sf_dir), enc, 512)
+    out = encode.encode_turns(conversations(spark, sf_dir), enc, SAMPLE_LENGTH)
     return out.select("conv_id", shown(F.col("input_ids")).alias("input_ids"), shown(F.col("labels")).alias("labels"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAINED}, {QUESTIONS}, prompts AS (
+  SELECT conv_id AS k, {SYSTEM} || {sql_turn("'user'", 'q')} || '<|im_start|>assistant' || chr(10) AS text FROM questions),
+{sql_encoded('prompts')} SELECT k AS conv_id, array_to_string(ids, ',') AS ids FROM encoded""")
 def encode_prompt(spark, sf_dir):
     enc = encode.encoder(spark, trained(spark, sf_dir))
     return questions(spark, sf_dir).select("conv_id", shown(enc(C.generation_prompt(F.col("question")))).alias("ids"))
@@ -776,20 +840,35 @@ def wiki_corpus(spark, sf_dir):
     return read_back(spark, wiki_build(spark, sf_dir, 150)[0])
 
 
-@query()
+def sql_fed(samples: str) -> str:
+    """Samples (k from 0) in one epoch's order, dealt to the ranks."""
+    return f"""shuffled AS (SELECT k, row_number() OVER (ORDER BY md5('{SEED}:0:' || k), k) - 1 AS pos FROM {samples}),
+fed_size AS (SELECT count(*) AS n, CAST(ceil(count(*) / {RANKS}) AS BIGINT) * {RANKS} AS padded FROM {samples}),
+fed_places AS (SELECT n, unnest(range(0, padded)) AS p FROM fed_size)
+SELECT CAST(0 AS INTEGER) AS epoch, CAST(p % {RANKS} AS INTEGER) AS rank, p // {RANKS} AS place, k AS "row", input_ids, labels
+FROM fed_places JOIN shuffled ON pos = p % n JOIN laid_out USING (k)"""
+
+
+@query(f"""WITH RECURSIVE {TRAINED}, samples_in AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS k, {sql_strip('text')} AS text
+  FROM documents WHERE {sql_strip('text')} <> ''), {sql_encoded('samples_in')},
+{sql_documents_laid_out(SAMPLE_LENGTH)}, {sql_fed('samples_in')}""")
 def pretrain_feed(spark, sf_dir):
     data, out = fresh_path(spark, "corpus.jsonl"), fresh_path(spark, "feed")
     sinks.write_corpus(documents(spark, sf_dir), data, ["doc_id"])
-    training.pretrain_feed(spark, data, trained(spark, sf_dir), out, 512, RANKS, 1, SEED)
+    training.pretrain_feed(spark, data, trained(spark, sf_dir), out, SAMPLE_LENGTH, RANKS, 1, SEED)
     return _fed(spark, out)
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAINED}, {QUESTIONS}, chats AS (
+  SELECT row_number() OVER (ORDER BY conv_id) - 1 AS k, {CHAT_TEXT} AS chat FROM questions WHERE conv_id % {PLACES} <> {PLACES - 1}),
+messages AS (SELECT k, unnest(range(1, len(m) + 1)) AS turn, unnest(m) AS m FROM (SELECT k, string_split(chat, '<|im_start|>')[2:] AS m FROM chats)),
+turns_in AS (SELECT {{'chat': k, 'turn': turn, 'role': split_part(m, chr(10), 1)}} AS k, '<|im_start|>' || m AS text FROM messages),
+{sql_encoded('turns_in')}, {sql_chats_laid_out(SAMPLE_LENGTH, 'k.chat', 'k.turn', 'k.role')}, {sql_fed('chats')}""")
 def sft_feed(spark, sf_dir):
     data, out = fresh_path(spark, "chats.jsonl"), fresh_path(spark, "feed")
     line = chat_record(F.col("question"), F.col("answer"), F.col("conv_id"))
     fx.jsonl_folder(questions(spark, sf_dir), data, line, "conv_id")
-    training.sft_feed(spark, data, trained(spark, sf_dir), out, 512, RANKS, 1, SEED)
+    training.sft_feed(spark, data, trained(spark, sf_dir), out, SAMPLE_LENGTH, RANKS, 1, SEED)
     return _fed(spark, out)
 
 
