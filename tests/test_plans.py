@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -109,7 +110,8 @@ def test_wiki(spark, tmp_path):
 
 
 @pytest.mark.parametrize("ranks,epochs", [(1, 1), (3, 2)])
-def test_feeds(spark, texts, tmp_path, ranks, epochs):
+def test_feeds(spark, texts, tmp_path, ranks, epochs, monkeypatch):
+    monkeypatch.setattr("textmill.operators.sinks.FILE_ROWS", 6)  # several files for a rank
     put(tmp_path / "t/c.jsonl", texts[:40] + ["", " "])
     vocab = training.train_tokenizer(spark, str(tmp_path / "t"), str(tmp_path / "v"), 150)
     library = Tokenizer.from_str(vocab.tokenizer_json())
@@ -126,6 +128,12 @@ def test_feeds(spark, texts, tmp_path, ranks, epochs):
     assert sorted((r.epoch, r.rank, r.place) for r in rows) == [
         (e, k, p) for e in range(epochs) for k in range(ranks) for p in range(per)]
 
+    for epoch in range(epochs):
+        for rank in range(ranks):  # files by name, rows as they stand
+            files = sorted((tmp_path / f"f/epoch={epoch}/rank={rank}").glob("part-*"))
+            places = [p for f in files for p in pq.read_table(f, columns=["place"], partitioning=None)["place"].to_pylist()]
+            assert places == list(range(per))
+
     chats = [{"messages": [{"role": "user", "content": t[:50]}, {"role": "assistant", "content": t[50:90]}]} for t in texts[:20]]
     (tmp_path / "chat.jsonl").write_text("\n".join(json.dumps(c) for c in chats + [{"messages": []}]))
     training.sft_feed(spark, str(tmp_path / "chat.jsonl"), vocab, str(tmp_path / "g"), 64, ranks, epochs)
@@ -177,3 +185,51 @@ def test_texts_are_shuffled_once_before_they_are_put_in_order(spark, texts, tmp_
     physical = seen["plan"].split("== Physical Plan ==")[1]
     scans = [line for line in physical.splitlines() if "FileScan" in line]
     assert sum("text#" in line for line in scans) == 1, physical
+
+
+def exchanges_above(plan: str, scan: str) -> int:
+    """Exchanges between the scan that reads ``scan`` and the top of the plan."""
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" +-:")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and scan in line)
+    count, level = 0, depth[at]
+    for i in range(at, -1, -1):
+        if depth[i] < level:
+            level = depth[i]
+            count += "Exchange" in lines[i]
+    return count
+
+
+@pytest.mark.parametrize("build", ["corpus", "wiki"])
+def test_texts_cross_the_network_once(spark, texts, tmp_path, monkeypatch, build):
+    """Without broadcasts: the join leaves texts in place, and the order needs no sampling sort."""
+    seen = {}
+    monkeypatch.setattr(corpus, "write_corpus", lambda rows, path, order: seen.update(plan=rows._jdf.queryExecution().executedPlan().toString()))
+    monkeypatch.setattr("textmill.operators.order.broadcast_if_small", lambda df: df)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        if build == "corpus":
+            put(tmp_path / "in.jsonl", texts[:20])
+            corpus.build_corpus(spark, [str(tmp_path / "in.jsonl")], str(tmp_path / "out"), 80, "20KB", dedupe=True, mix=True)
+        else:
+            put(tmp_path / "w/wiki_00", texts[:20])
+            corpus.prepare_wiki(spark, str(tmp_path / "w"), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert exchanges_above(seen["plan"], "text#") == 1 and "rangepartitioning" not in seen["plan"], seen["plan"]
+    assert "textmill" not in " ".join(t.name for t in spark.catalog.listTables()) and not [
+        t for t in spark.catalog.listTables() if t.name.startswith(("prepared_", "wiki_"))]
+
+
+def test_files_follow_each_other(spark, texts, tmp_path, monkeypatch):
+    """Part files by name hold the corpus in order, at any size of a file."""
+    put(tmp_path / "in.jsonl", texts[:60])
+    whole = None
+    for size in (2_000, 9_000, 1 << 30):
+        monkeypatch.setattr("textmill.operators.sinks.FILE_BYTES", size)
+        out = tmp_path / f"out{size}"
+        corpus.build_corpus(spark, [str(tmp_path / "in.jsonl")], str(out), 80, dedupe=True, mix=True)
+        lines = [line for f in sorted(out.glob("part-*")) for line in f.read_text().splitlines()]
+        whole = whole or lines
+        assert lines == whole and len(lines) > 20

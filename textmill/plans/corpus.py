@@ -10,13 +10,25 @@ from ..operators.convert import convert
 from ..operators.dedupe import digest, mark_repeats
 from ..operators.order import block_sequence, first_docs, mix_sources, prefix_end
 from ..operators.report import KEPT, REPEAT, SHORT, corpus_report
-from ..operators.sinks import write_corpus
+from ..operators.sinks import file_of, in_files, write_corpus
 from ..sources.files import ORDER, read_corpus, wiki_shards
-from ..workspace import keep, stage, staging
+from ..workspace import joined_by_task, keep, stage, stage_by_task, staging
 
 BLOCK = ORDER[:-1]
 
 
+def write_chosen(texts: DataFrame, chosen: DataFrame, path: str) -> None:
+    """Write the ``text`` of the rows of ``chosen`` (task, row, at, row_bytes) by ``at``.
+
+    ``texts`` are staged by task. The join leaves them in place; they cross the network once, to
+    the file that their place in bytes belongs to.
+    """
+    placed, files = file_of(chosen, "at", "row_bytes")
+    with joined_by_task(texts.sparkSession):
+        rows = texts.select("task", "row", "text").join(placed.select("task", "row", "at", "file"), ["task", "row"])
+        write_corpus(in_files(rows, "file", files, ["at"]), path, [])
+
+
 def prepare(raw: DataFrame, dictionary=None) -> DataFrame:
     """Clean and convert ``raw`` into ``text``; everything later steps ask about is a narrow column."""
     texts = convert(raw.withColumn("text", clean_text(F.col("raw"))).drop("raw"), "text", dictionary)
@@ -66,10 +78,10 @@ def build_corpus(
 
     The inputs are read and cleaned once and written with their order key. All decisions are
     taken on the narrow columns of that table; the texts are read again only for the output, where
-    they meet the decisions in one join and are put in order.
+    they meet the decisions and go to their place.
     """
     with staging(spark):
-        prepared = stage(prepare(read_corpus(spark, inputs), dictionary), "prepared")
+        prepared = stage_by_task(prepare(read_corpus(spark, inputs), dictionary), "prepared")
         narrow = block_sequence(prepared.drop("text"), BLOCK, "pos")
         facts = narrow.select("seq", "src_ord", "n_chars", "row_bytes", "digest")
         order = "seq"
@@ -82,8 +94,8 @@ def build_corpus(
             kept = kept.join(facts.select(F.col(order).alias("at"), "seq"), "at")
         else:
             kept = kept.withColumn("seq", F.col("at"))
-        chosen = narrow.join(kept, "seq").select(*BLOCK, "pos", "at")
-        write_corpus(prepared.select(*BLOCK, "pos", "text").join(chosen, [*BLOCK, "pos"]).select("at", "text"), out_path, ["at"])
+        chosen = stage(narrow.join(kept, "seq").select("task", "row", "at", "row_bytes"), "chosen")
+        write_chosen(prepared, chosen, out_path)
         return keep(corpus_report(status), "report")
 
 
@@ -99,7 +111,9 @@ def prepare_wiki(
     with staging(spark):
         raw = wiki_shards(spark, input_dir)
         texts = convert(raw.withColumn("text", clean_text(F.col("raw"))).drop("raw"), "text", dictionary)
-        kept = stage(texts.where(char_length(F.col("text")) >= min_chars), "wiki")
-        chosen = first_docs(block_sequence(kept, BLOCK, "pos").select("seq", "text"), "seq", max_docs)
-        write_corpus(chosen, out_path, ["seq"])
+        kept = texts.where(char_length(F.col("text")) >= min_chars).withColumn("row_bytes", row_bytes(F.col("text")))
+        kept = stage_by_task(kept, "wiki")
+        numbered = block_sequence(kept.select(*BLOCK, "pos", "task", "row", "row_bytes"), BLOCK, "pos", "at")
+        chosen = stage(first_docs(numbered, "at", max_docs).select("task", "row", "at", "row_bytes"), "chosen")
+        write_chosen(kept, chosen, out_path)
         return keep(chosen.agg(F.count("*").alias("saved")), "report")

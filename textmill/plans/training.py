@@ -38,10 +38,11 @@ def _feed(encoded: DataFrame, out_path: str, ranks: int, epochs: int, seed: int)
         ids = position(
             narrow.select("seq"), "row", [F.shiftright("seq", 16)], [F.col("seq")]
         )
-        shards = shard_rows(ids.select("row"), "row", ranks, epochs, seed)
+        shards = stage(shard_rows(ids.select("row"), "row", ranks, epochs, seed), "shards")
+        places = (shards.agg(F.max("place")).first()[0] or 0) + 1
         placed = shards.join(ids, "row").join(narrow, "seq").select(*SAMPLE_BLOCK, "pos", "epoch", "rank", "place", "row")
         rows = samples.join(placed, [*SAMPLE_BLOCK, "pos"])
-        write_shards(rows.select("epoch", "rank", "place", "row", "input_ids", "labels"), out_path)
+        write_shards(rows.select("epoch", "rank", "place", "row", "input_ids", "labels"), out_path, epochs, ranks, places)
 
 
 def pretrain_feed(

@@ -39,7 +39,7 @@ class _Staged:
     """Paths of the tables written inside a ``staging`` block, and the block around it."""
 
     def __init__(self, outer: _Staged | None):
-        self.outer, self.paths = outer, []
+        self.outer, self.paths, self.tables = outer, [], []
 
 
 _block: ContextVar[_Staged | None] = ContextVar("textmill_staged", default=None)
@@ -67,6 +67,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return _write(df, name, _block.get())[0]
 
 
+def stage_by_task(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` with two more columns: ``task``, which wrote the row, and ``row``, unique and rising within a task.
+
+    The copy is a table bucketed by task: a task fills one bucket, so it writes one file. A join on (task, row) that
+    runs under ``joined_by_task`` then leaves these rows where they are and moves the other side only.
+    """
+    spark, block = df.sparkSession, _block.get()
+    path, table = fresh_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+    if block is not None:
+        block.paths.append(path)
+        block.tables.append(table)
+    tagged = df.withColumn("row", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("task", F.shiftright("row", 33).cast("int"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged.write.format("parquet").option("path", path).bucketBy(buckets, "task").saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def joined_by_task(spark: SparkSession) -> Iterator[None]:
+    """Joins planned inside accept rows that are together by ``task`` alone."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside the block are deleted at its end, also when it fails.
@@ -79,6 +109,8 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _block.reset(token)
+        for table in block.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in block.paths:
             _delete(spark, path)
 
