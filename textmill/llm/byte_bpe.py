@@ -38,7 +38,7 @@ from ..workspace import fresh_path, spread
 from .sizes import input_bytes, unused
 
 BLOCK_BYTES = 8 << 20
-PART_BYTES = 8 << 20  # of input for each hash part of the words
+PART_BYTES = 4 << 20  # of input for each hash part of the words
 MOST_PARTS = 50_000
 KNOWN_WORDS = 1_000_000
 AT_ONCE = 1 << 19  # slots or ids that are replaced at once
@@ -261,7 +261,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", into:
     def run(batches):
         values = np.frombuffer(b"".join(sent.value), np.uint8)
         bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, sent.value), np.int64))])
-        for batch in batches:
+        def decoded(batch: pa.RecordBatch) -> pa.RecordBatch:
             lists = batch.column(ids)
             at = lists.flatten()
             at = np.where(at.is_valid().to_numpy(zero_copy_only=False), at.fill_null(0).to_numpy(zero_copy_only=False), -1).astype(np.int64)
@@ -270,8 +270,16 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", into:
             ends = np.concatenate([[0], np.cumsum(length)])
             count = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
             null = pa.array(lists.is_null().to_numpy(zero_copy_only=False))
-            decoded = pa.Array.from_buffers(
+            column = pa.Array.from_buffers(
                 pa.large_binary(), len(lists), [pc.invert(null).buffers()[1], pa.py_buffer(ends[count].astype(np.int64)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded.cast(pa.binary())], [*batch.schema.names, into])
+            return pa.RecordBatch.from_arrays([*batch.columns, column.cast(pa.binary())], [*batch.schema.names, into])
+
+        for batch in batches:  # a bounded number of ids at once, or one row
+            ends = np.concatenate([[0], np.cumsum(batch.column(ids).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            a = 0
+            while a < batch.num_rows:
+                b = min(max(a + 1, int(np.searchsorted(ends, ends[a] + AT_ONCE, "right")) - 1), batch.num_rows)
+                yield decoded(batch.slice(a, b - a))
+                a = b
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.BinaryType())]))
