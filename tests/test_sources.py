@@ -199,3 +199,34 @@ def test_conversion(spark, extra):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     got = [r.x for r in df.select("i", convert_text(F.col("t"), table).alias("x")).orderBy("i").collect()]
     assert got == [leftmost_longest(t, table) for t in texts]
+
+
+def leftmost_longest(text: str, table: dict) -> str:
+    out, at = [], 0
+    while at < len(text):
+        n = next((n for n in range(min(12, len(text) - at), 0, -1) if text[at:at + n] in table), 0)
+        out.append(table[text[at:at + n]] if n else text[at])
+        at += max(n, 1)
+    return "".join(out)
+
+
+def test_dictionary_of_200_000_entries(spark):
+    """A table of any size, with repeated and null entries, converts as the entries that occur would alone."""
+    import random
+
+    from textmill.operators.convert import convert, load_dictionary
+
+    turn = random.Random(8)
+    small = {"".join(turn.choice("abcdé") for _ in range(turn.randint(1, 6))): f"<{i}>" for i in range(300)}
+    texts = ["", None, "abcdé" * 20, "é", "no entry here: xyz"] + ["".join(turn.choice("abcdéxy ") for _ in range(80)) for _ in range(40)]
+    large = spark.range(200_000).selectExpr("concat('a#', id) src", "'never' dst")
+    more = [(s, d) for s, d in small.items()] + [(s, "~later") for s in small] + [(None, "x"), ("b", None), ("", "y")]
+    table = large.unionByName(spark.createDataFrame(more, "src string, dst string"))
+    wanted = dict(small)
+    loaded = load_dictionary(table)
+    assert len(loaded) == 200_000 + len(small) and {s: loaded[s] for s in small} == wanted
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.t for r in convert(df, "t", table).orderBy("i").collect()]
+    assert got == [None if t is None else leftmost_longest(t, wanted) for t in texts]
+    alone = [r.t for r in convert(df, "t", wanted).orderBy("i").collect()]
+    assert alone == got

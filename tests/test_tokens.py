@@ -86,6 +86,25 @@ def test_decode_equals_the_library(spark, trained):
     assert got == [theirs.decode(ids, skip_special_tokens=True) for ids in lists]
 
 
+def test_rounds_read_what_they_need(spark, trained, docs):
+    """Several merges a round, and after the first scan of all words only words that hold a pair that is tried."""
+    few = docs.where("doc_id < 60")
+    vocab = V.train_bpe(V.pretoken_freq(few), 260)
+    words = V.pretoken_freq(few).where("octet_length(word) > 1").count()
+    first, *later = vocab.rounds
+    assert first == V.Round(0, words, True) and sum(r.merges for r in later if not r.whole) >= len(vocab.merges) - 1
+    assert len(later) < len(vocab.merges) / 2 and all(0 < r.merges <= V.ROUND_MERGES[1] for r in later if not r.whole)
+    assert min(r.rows for r in later) < words
+
+
+def test_counts_beyond_those_followed(spark, trained, docs, monkeypatch):
+    """With few pairs followed, and a small index, training counts anew and merges the same."""
+    monkeypatch.setattr(V, "FOLLOWED_PAIRS", 12)
+    again = V.train_bpe(V.pretoken_freq(docs.where("doc_id < 60")), 150)
+    assert again.merges == trained[0].merges[:len(again.merges)] and len(again.tokens) == 150
+    assert sum(r.whole for r in again.rounds) > 2
+
+
 def test_save_and_load(spark, trained, tmp_path):
     V.save_vocabulary(spark, trained[0], str(tmp_path / "v"))
     assert V.load_vocabulary(spark, str(tmp_path / "v")) == trained[0]

@@ -4,31 +4,39 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A dictionary is an option of a job, not data; a larger one is refused.
-MAX_ENTRIES = 100_000
+# A dictionary goes to every worker, so its size is measured; a larger one is refused.
+MAX_BYTES = 256 << 20
 # Spark looks a map key up by scanning; with more long entries than this a Python worker is faster.
 MAX_JVM_PHRASES = 1_000
 
 
 def load_dictionary(table: DataFrame) -> dict[str, str]:
-    """Entries of a ``src, dst`` table."""
-    rows = table.select("src", "dst").where("src != ''").limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"a conversion dictionary holds at most {MAX_ENTRIES} entries")
-    return {r.src: r.dst for r in rows}
+    """Entries of a ``src, dst`` table, any number of them.
+
+    Rows without ``src`` or ``dst`` and those with an empty ``src`` are no entries. Of several rows for a ``src`` the smallest
+    ``dst`` counts.
+    """
+    entries = table.where("src != '' AND dst IS NOT NULL").groupBy("src").agg(F.min("dst").alias("dst"))
+    size = entries.agg(F.sum(F.octet_length("src") + F.octet_length("dst"))).first()[0] or 0
+    if size > MAX_BYTES:
+        raise ValueError(f"the entries of a conversion dictionary hold at most {MAX_BYTES} bytes, not {size}")
+    return {r.src: r.dst for r in entries.toLocalIterator()}
 
 
 def convert_text(text: Column, dictionary: dict[str, str]) -> Column:
     """Replace every leftmost-longest match of a dictionary entry.
 
     One-to-one characters go through ``translate``. With longer entries the text is cut into
-    matches and the stretches between them, where no such entry begins.
+    matches and the stretches between them, where no such entry begins. Entries without text to
+    find or to put there are left out.
     """
+    dictionary = {s: d for s, d in dictionary.items() if s and d is not None}
     single = {s: d for s, d in dictionary.items() if len(s) == 1 and len(d) == 1 and s != d and "\0" not in d}
     phrases = {s: d for s, d in dictionary.items() if s not in single and not (len(s) == 1 and s == d)}
 
@@ -56,28 +64,34 @@ def _escaped(chars: str) -> str:
 
 
 def _in_python(dictionary: dict[str, str]):
-    by_first: dict[str, list[str]] = {}
-    for source in sorted(dictionary, key=len, reverse=True):
-        by_first.setdefault(source[0], []).append(source)
-    longest = {first: tuple(sources) for first, sources in by_first.items()}
-
-    @F.pandas_udf("string")
-    def replace(texts: pd.Series) -> pd.Series:
-        starts = re.compile("[" + re.escape("".join(longest)) + "]")
+    """One pass over a text; at a place, one look-up for each length that entries with its character have."""
+    lengths: dict[str, set[int]] = {}
+    for source in dictionary:
+        lengths.setdefault(source[0], set()).add(len(source))
+    longest_first = {first: sorted(sizes, reverse=True) for first, sizes in lengths.items()}
+    shared = SparkSession.active().sparkContext.broadcast((dictionary, longest_first))
+
+    @F.arrow_udf("string")
+    def replace(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table, sizes = shared.value
+        starts = re.compile("[" + re.escape("".join(sizes)) + "]")
 
         def one(text):
             if text is None:
                 return None
-            out, at = [], 0
-            while (hit := starts.search(text, at)) is not None:
-                out.append(text[at:hit.start()])
+            out, done = [], 0
+            hit = starts.search(text)
+            while hit is not None:
                 at = hit.start()
-                found = next((s for s in longest[text[at]] if text.startswith(s, at)), None)
-                out.append(text[at] if found is None else dictionary[found])
-                at += 1 if found is None else len(found)
-            return "".join(out) + text[at:]
-
-        return texts.map(one)
+                size = next((n for n in sizes[text[at]] if text[at : at + n] in table), 0)
+                if size:
+                    out += (text[done:at], table[text[at : at + size]])
+                    done = at + size
+                hit = starts.search(text, at + max(size, 1))
+            return "".join(out) + text[done:]
+
+        for batch in batches:
+            yield pa.array([one(t) for t in batch.to_pylist()], pa.string())
 
     return replace
 

@@ -372,6 +372,16 @@ def convert_chars(spark, sf_dir):
     return convert.convert(documents(spark, sf_dir), "text", single).select("doc_id", "text")
 
 
+@query("""SELECT doc_id, translate(text, 'äöüé', 'aoue') AS text FROM documents""")
+def convert_large_dict(spark, sf_dir):
+    """Two entries for every document that no text holds, repeated and null ones, and those of ``convert_chars``."""
+    docs = documents(spark, sf_dir)
+    unused = docs.selectExpr("explode(array(concat('\\u0001', doc_id), concat('ä\\u0001', doc_id))) AS src", "'never' AS dst")
+    pairs = [("ä", "a"), ("ö", "z"), ("ö", "o"), ("ü", "u"), ("é", "e"), ("e", None), (None, "x"), ("", "y")]
+    used = spark.createDataFrame(pairs, "src string, dst string")
+    return convert.convert(docs, "text", unused.unionByName(used)).select("doc_id", "text")
+
+
 # --- chat --------------------------------------------------------------------------------------------
 
 # Conversations get numbers of this many places: a sample per user or unanswered turn, the last one empty.
@@ -547,6 +557,17 @@ def byte_alphabet(spark, sf_dir):
     return seen.select(F.hex(vocab.symbol_bytes(F.col("token"))).alias("byte"))
 
 
+# Characters that NFKC takes back: wide letters and figures, a ligature, a wide blank.
+WIDE = {c: chr(ord(c) + 0xFEE0) for c in "abcxyzABC0189!?"} | {" ": "\u3000"}
+
+
+@query("SELECT doc_id, text FROM documents")
+def nfkc_text(spark, sf_dir):
+    """Every text is written with other characters first; holds because every document is its own NFKC form."""
+    text = F.translate(F.replace("text", F.lit("fi"), F.lit("\ufb01")), "".join(WIDE), "".join(WIDE.values()))
+    return documents(spark, sf_dir).select("doc_id", X.nfkc(text).alias("text"))
+
+
 # Training in SQL: words are strings of ids, each step merges the best pair (ties: smaller ids) in all words.
 SPECIALS = len(vocab.SPECIAL_TOKENS)
 TRAINED = rf"""{PRETOKENS}, numbered_words AS (SELECT row_number() OVER () AS w, word, hex(encode(word)) AS h, freq FROM words),
@@ -587,18 +608,36 @@ def bpe_merges(spark, sf_dir):
     return trained(spark, sf_dir).merges_table(spark)
 
 
-@query(f"""WITH RECURSIVE {TRAINED},
+VOCABULARY = f"""WITH RECURSIVE {TRAINED},
 spelled AS (
   SELECT CAST(0 AS BIGINT) AS step, {list(vocab.SPECIAL_TOKENS)} || (SELECT list(token ORDER BY id) FROM alphabet) AS tokens UNION ALL
   SELECT step + 1, list_append(tokens, tokens[l + 1] || tokens[r + 1]) FROM spelled JOIN merges ON rank = step),
 longest AS (SELECT tokens FROM spelled ORDER BY step DESC LIMIT 1)
-SELECT CAST(unnest(range(0, len(tokens))) AS INTEGER) AS id, unnest(tokens) AS token FROM longest""")
+SELECT CAST(unnest(range(0, len(tokens))) AS INTEGER) AS id, unnest(tokens) AS token FROM longest"""
+
+
+@query(VOCABULARY)
 def bpe_vocab(spark, sf_dir):
     path = fresh_path(spark, "vocabulary")
     vocab.save_vocabulary(spark, trained(spark, sf_dir), path)
     return spark.read.parquet(f"{path}/vocab")
 
 
+@query(ORACLES["bpe_merges"])
+def bpe_saved_merges(spark, sf_dir):
+    path = fresh_path(spark, "vocabulary")
+    vocab.save_vocabulary(spark, trained(spark, sf_dir), path)
+    return spark.read.parquet(f"{path}/merges")
+
+
+@query(VOCABULARY)
+def bpe_tokenizer_file(spark, sf_dir):
+    path = fresh_path(spark, "vocabulary")
+    vocab.save_vocabulary(spark, trained(spark, sf_dir), path)
+    parsed = F.from_json("value", "model struct<vocab: map<string, int>>")
+    return spark.read.text(f"{path}/tokenizer_json", wholetext=True).select(F.explode(parsed["model"]["vocab"]).alias("token", "id"))
+
+
 # --- encoding --------------------------------------------------------------------------------------------
 
 SAMPLE_LENGTH = 512
