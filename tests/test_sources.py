@@ -87,7 +87,7 @@ def test_a_record_over_the_parser_limit_is_kept(spark, tmp_path):
 def test_strict_lines(spark, tmp_path):
     good = ['{"text": 1.0}', '{"text": null}', "{}", '{"text": [1, 2]}', '{"text": " s "}', '{"text": true, "v": NaN}']
     put(tmp_path, {"wiki_a": "\n".join(good), "x/wiki_b": '{"text": "b"}', "other": "not json"})
-    assert in_order(files.wiki_shards(spark, str(tmp_path))) == ["1.0", "None", "", "[1,2]", " s ", "True", "b"]
+    assert in_order(files.wiki_shards(spark, str(tmp_path))) == ["1.0", "None", "", "[1, 2]", " s ", "True", "b"]
     put(tmp_path, {"wiki_c": '{"text": "cut'})
     with pytest.raises(Exception, match="malformed JSON line"):
         files.wiki_shards(spark, str(tmp_path)).collect()
@@ -230,3 +230,19 @@ def test_dictionary_of_200_000_entries(spark):
     assert got == [None if t is None else leftmost_longest(t, wanted) for t in texts]
     alone = [r.t for r in convert(df, "t", wanted).orderBy("i").collect()]
     assert alone == got
+
+
+VALUES = ['{"a": 1}', "[true, null]", '{"b": {"c": [1.5, "x\'y", {}]}}', "-0.0", "0.0", "-0", "-0e5", '"-0.0"', "null", "12345678901234567890123"]
+
+
+def test_nested_values_print_alike_in_both_parsers(spark, tmp_path):
+    """A field that has nothing to do with the text does not decide how it prints."""
+    lines = [f'{{"text": {v}{rest}}}' for v in VALUES for rest in ("", ', "other": NaN', ', "z": "-0"')]
+    (tmp_path / "n.jsonl").write_text("\n".join(lines))
+    got = files.strict_json_lines(spark, str(tmp_path / "n.jsonl")).orderBy("pos").collect()
+    assert [r.raw for r in got] == [str(json.loads(line)["text"]) for line in lines]
+    chats = [f'{{"instruction": {v}, "output": "x"{rest}}}' for v in VALUES for rest in ("", ', "other": NaN')]
+    chats += [f'{{"messages": [{{"role": "user", "content": {v}}}]{rest}}}' for v in VALUES for rest in ("", ', "other": NaN')]
+    (tmp_path / "c.jsonl").write_text("\n".join(chats))
+    got = [m.content for r in samples.chat_samples(spark, str(tmp_path / "c.jsonl")).orderBy("pos").collect() for m in r.messages if m.role == "user"]
+    assert got == [str(r["instruction"] if "instruction" in r else r["messages"][0]["content"]) for r in map(json.loads, chats)]

@@ -277,6 +277,20 @@ def strict_lines(spark, sf_dir):
     return placed(files.strict_json_lines(spark, path), ONE_INPUT)
 
 
+@query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, CASE doc_id % 4
+  WHEN 0 THEN '{''n'': ' || n_chars || ', ''lang'': ''' || lang || ''', ''ok'': [True, None, -0.0]}'
+  WHEN 1 THEN '[' || n_chars || ', [''' || source || '''], {}]' WHEN 2 THEN '-0.0' ELSE '0.0' END AS text FROM documents""")
+def strict_nested(spark, sf_dir):
+    """Nested values and negative zeros; every third line has a NaN beside the text, which another parser reads."""
+    path, kind = fresh_path(spark, "nested.jsonl"), F.col("doc_id") % 4
+    nested = F.concat(F.lit('{"n":'), F.col("n_chars").cast("string"), F.lit(', "lang": "'), F.col("lang"), F.lit('", "ok":[true,null, -0.0]}'))
+    listed = F.concat(F.lit("["), F.col("n_chars").cast("string"), F.lit(',["'), F.col("source"), F.lit('"],{}]'))
+    value = F.when(kind == 0, nested).when(kind == 1, listed).when(kind == 2, "-0.0").otherwise("0.0")
+    beside = F.when(F.col("doc_id") % 3 == 0, '{"v": NaN, "text": ').otherwise('{"text": ')
+    fx.jsonl_folder(documents(spark, sf_dir), path, F.concat(beside, value, F.lit("}")), "doc_id")
+    return placed(files.strict_json_lines(spark, path), ONE_INPUT)
+
+
 @query(f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, {sql_clean('text')} AS text FROM documents")
 def wiki_shards(spark, sf_dir):
     folder = fresh_path(spark, "extracted")

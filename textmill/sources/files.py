@@ -198,17 +198,27 @@ def line_scan(spark: SparkSession, path, glob: str | None = None, file_class: in
     return lines.where(F.col("raw") != "")
 
 
-def parsed_values(rows: DataFrame, text: str = "raw", again=_reparse) -> DataFrame:
+def prints_in_python(value: Column, text: Column) -> Column:
+    """Whether ``str()`` of a JSON value is left to the second parser: nested values, and a zero whose sign a variant does not keep."""
+    kind = F.schema_of_variant(value)
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    zero = text.contains("-0") & F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False))
+    return F.coalesce(nested | zero, F.lit(False))
+
+
+def parsed_values(rows: DataFrame, text: str = "raw", again=_reparse, refuse=None) -> DataFrame:
     """Rows with ``record`` (the text as a variant) or, where the JVM refused, ``again``.
 
     The text is parsed inside an array that ends in a marker, so that anything after the value
-    makes it malformed; a bare ``try_parse_json`` stops after the first value.
+    makes it malformed; a bare ``try_parse_json`` stops after the first value. Records for which
+    ``refuse(record, text)`` holds go to the second parser too.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
     whole = (F.try_variant_get("wrapped", "$[1]", "string") == _END) & F.try_variant_get(
         "wrapped", "$[2]", "variant"
     ).isNull()
-    record = F.when(whole, F.try_variant_get("wrapped", "$[0]", "variant"))
+    first = F.try_variant_get("wrapped", "$[0]", "variant")
+    record = F.when(whole & ~refuse(first, F.col(text)) if refuse else whole, first)
     # The row number is made here because no filter is pushed below it: a filter on the record
     # would otherwise parse every text once more.
     return rows.withColumn("wrapped", wrapped).withColumn("record", record).select(
@@ -248,7 +258,8 @@ def strict_json_lines(spark: SparkSession, path, glob: str | None = None, file_c
         .when(F.col("again.valid") & F.col("again.object"), F.col("again.as_text"))
         .otherwise(F.raise_error(refused))
     )
-    return parsed_values(lines).select(*_keys(lines), "pos", raw.alias("raw"))
+    parsed = parsed_values(lines, refuse=lambda record, text: prints_in_python(variant_field(record, "text"), text))
+    return parsed.select(*_keys(lines), "pos", raw.alias("raw"))
 
 
 def _file_scan(spark: SparkSession, path: str, glob: str | None = None, file_class: int = 0) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.chat import SAMPLE_FIELDS, built_messages, record_messages
-from ..functions.text import strip
-from .files import is_object, line_scan, literal, parsed_values, path_exists, second_parser, strict_json_lines, text_lines
+from ..functions.text import strip, variant_field
+from .files import (
+    is_object, line_scan, literal, parsed_values, path_exists, prints_in_python, second_parser, strict_json_lines, text_lines,
+)
 
 
 def _texts(lines: DataFrame) -> DataFrame:
@@ -46,12 +51,22 @@ def _described_sample(record) -> dict | None:
 _resample = second_parser(_SAMPLE, _described_sample)
 
 
+def _printed_in_python(record: Column, text: Column) -> Column:
+    """Whether a sample has a field or message whose ``str()`` the second parser makes."""
+    def any_of(holder: Column, names: tuple[str, ...]) -> Column:
+        return reduce(operator.or_, [prints_in_python(variant_field(holder, n), text) for n in names])
+
+    messages = F.try_variant_get(variant_field(record, "messages"), "$", "array<variant>")
+    listed = F.coalesce(F.exists(messages, lambda m: any_of(m, ("role", "content"))), F.lit(False))
+    return F.when(variant_field(record, "messages").isNull(), any_of(record, SAMPLE_FIELDS)).otherwise(listed)
+
+
 def chat_samples(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines turned into ``messages``; samples without any message are left out.
 
     A line that is no object, or whose messages are no list of objects with role and content, fails the job.
     """
-    parsed = parsed_values(line_scan(spark, literal(path)), again=_resample)
+    parsed = parsed_values(line_scan(spark, literal(path)), again=_resample, refuse=_printed_in_python)
     again = F.col("again")
     messages = F.when(is_object(F.col("record")), record_messages(F.col("record"))).when(
         again["valid"], F.coalesce(again["messages"], built_messages(lambda n: again[n])))
