@@ -184,3 +184,24 @@ def test_chats_from_turns_and_from_arrays(spark, trained, length):
     assert got == wanted
     text = arrays.where("conv_id = 0").select(render_chat(F.col("messages"), True).alias("t")).first().t
     assert text.endswith("turn 2 of 0<|im_end|>\n<|im_start|>assistant\n")
+
+
+def test_long_samples_of_a_huge_chat(spark, monkeypatch):
+    """Above the limit that Spark pushes down, the first turns are found in buckets; the result is the same."""
+    monkeypatch.setattr("textmill.operators.order.BUCKET_KEYS", 500)
+    turns = spark.range(30_000).selectExpr("CAST(0 AS INT) conv_id", "CAST(29999 - id AS INT) turn", "'user' role", "'x' text")
+    few = spark.createDataFrame([(1, 5, "user", "a"), (1, None, "system", "b"), (None, 1, "user", "c"), (2, -7, "user", "d")],
+                                "conv_id int, turn int, role string, text string")
+    rows = turns.unionByName(few).repartition(5)
+    long = E.first_turns(rows, "conv_id", "turn", 4_200)
+    limit = E.turns_in_sample(4_200)
+    assert limit > 1_000 and "hashpartitioning(conv_id#" in long._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, long.collect()), key=str)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
+    try:
+        assert got == sorted(map(tuple, E.first_turns(rows, "conv_id", "turn", 4_200).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert len(got) == limit + 4 and {t[1] for t in got if t[0] == 0} == set(range(limit))
+    # No task sorts the chat as one group: the window that numbers its turns is inside a bucket.
+    assert "windowspecdefinition(conv_id" in long._jdf.queryExecution().optimizedPlan().toString() and "_b0#" in long._jdf.queryExecution().optimizedPlan().toString()
