@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,59 @@ def test_near_copies_of_a_template(spark):
     assert near_found(near_dedup.near_copies(plain.table(spark, rows, False))) == want
 
 
+whole = near_dedup.confirmed
+
+
+def test_near_copies_below_the_threshold(spark, monkeypatch):
+    """A large group that is alike but not linked gives no pairs beyond a few a document, and a lower threshold links it."""
+    template = plain.prose(15, 404).split(" ")
+    rows = as_rows([changed(template, i, 4) for i in range(200)])
+    asked = []
+    monkeypatch.setattr(near_dedup, "confirmed", lambda docs, pairs, percent: asked.append(pairs.count()) or whole(docs, pairs, percent))
+    monkeypatch.setattr(near_dedup, "TILE_ROWS", 64)
+    docs = plain.table(spark, rows, False)
+    assert near_found(near_dedup.near_copies(docs)) == plain.near(rows)
+    assert len(asked) == 1 and asked[0] <= near_dedup.TREES * 4 * len(rows)
+    want = plain.near(rows, 80)
+    assert {c for _, c in want.values()} == {0}
+    assert near_found(near_dedup.near_copies(docs, 80)) == want
+
+
+def test_links_inside_a_node(spark, monkeypatch):
+    """What full sets link is joined by fewer rows than documents a block, also across parts."""
+    template = plain.prose(16, 404).split(" ")
+    texts = [changed(changed(template, 1000 + i // 3, 3), i, 1) for i in range(90)]
+    docs = plain.table(spark, as_rows(texts), False)
+    sizes = near_dedup.signatures(docs).selectExpr("7L AS node", "id", "n", "id AS component")
+    want = {i: c for i, (_, c) in plain.near(as_rows(texts)).items()}
+    for tile in (1024, 20):
+        monkeypatch.setattr(near_dedup, "TILE_ROWS", tile)
+        links = near_dedup.confirmed_in_place(docs, sizes)
+        if tile > 90:
+            assert links.count() == 90 - len(set(want.values()))
+        found = {r.id: r.component for r in components.components(links).collect()}
+        assert {i: found.get(i, i) for i in want} == want
+
+
+def test_shared_elements():
+    turn = np.random.default_rng(3)
+    sets = [np.unique(turn.choice(np.arange(4_000, dtype=np.uint64), turn.integers(1, 900))) for _ in range(70)]
+    sets += [np.arange(1_500, dtype=np.uint64)] * 40 + [np.array([9_999], np.uint64)]
+    got = near_dedup.shared(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert got[i, j] == len(np.intersect1d(a, b))
+    assert near_dedup.shared([np.zeros(0, np.uint64)] * 2).sum() == 0
+    links = turn.random((60, 60)) < 0.03
+    links |= links.T
+    parts = near_dedup.forest(links)
+    reach = links | np.eye(60, dtype=bool)
+    for _ in range(6):
+        reach = (reach.astype(int) @ reach.astype(int)) > 0
+    assert len(parts) == 60 - len({tuple(r) for r in reach.tolist()}) and all(links[i, j] for i, j in parts)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_near_copies_of_the_table(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")

@@ -9,7 +9,9 @@ documents by a hash of tree and document, and every part is compared with every
 Pairs found are confirmed on the full sets, and confirmed links are joined to components.
 
 In a group of more than ALL_PAIRS documents this takes two rounds. The first confirms pairs that join what is most
-alike; the second confirms every likely pair whose documents the links of the first have not joined.
+alike. Where a node still holds likely pairs that these links have not joined, the second brings the full sets of their documents
+there, counts what all of them share at once and gives the links of a spanning forest: fewer rows than documents, however
+many pairs are alike. A node with more sets than TILE_ROWS or TILE_BYTES is dealt to parts that meet each other.
 
 A pair of similarity s meets in one tree with probability s to the depth of its leaf, which is DEPTH at most;
 18 trees miss a pair at 0.85 with a probability below 0.00001 and one at 0.80 below 0.0001.
@@ -43,8 +45,9 @@ LEAF = 64
 BLOCK = 512
 ALL_PAIRS = 16
 FORESTS = 3
-LEAST_ESTIMATE = 0.64
 PAIRS_AT_ONCE = 128
+TILE_ROWS, TILE_BYTES = 1024, 1 << 24
+FEW, COLUMNS = 32, 1024
 
 _FACTORS = mixed(np.arange(1, SIGNATURE + 1, dtype=np.uint64)) | np.uint64(1)
 _ADDED = mixed(np.arange(1001, SIGNATURE + 1001, dtype=np.uint64))
@@ -135,14 +138,16 @@ def leaves(classes: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def estimates(own: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Estimated similarity of the documents of one group; 0 where it is not worth confirming."""
+def estimates(own: np.ndarray, sizes: np.ndarray, low: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Estimated similarity of the documents of one group; 0 where it is five deviations below the threshold."""
+    s = percent / 100
+    least = s - 5 * (s * (1 - s) / SIGNATURE) ** 0.5
     same = np.zeros((len(own), len(own)), np.uint8)
     for function in np.ascontiguousarray(low.T):
         same += function[:, None] == function
     estimate = (same / np.float32(low.shape[1]) - 1 / 256) / (1 - 1 / 256)
     few, many = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
-    estimate[(100 * few < PERCENT * many) | (estimate < LEAST_ESTIMATE)] = 0
+    estimate[(100 * few < percent * many) | (estimate < least)] = 0
     np.fill_diagonal(estimate, 0)
     if (own != own[0]).any():
         estimate[own[:, None] == own] = 0
@@ -204,32 +209,116 @@ def _pairs(found: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _compared(batches):
-    """Pairs to confirm; with a column of components, all likely ones that these do not join."""
-    found, n = [], 0
-    for group in _runs(batches, ("node", "part")):
-        if group.num_rows < 2:
-            continue
-        ids, own, sizes = (group.column(c).to_numpy() for c in ("id", "own", "n"))
-        joined = group.column("component").to_numpy() if "component" in group.column_names else None
-        if joined is not None and (joined == joined[0]).all():
-            continue
-        estimate = estimates(own, sizes, np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1))
-        if joined is None:
+def _likely(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a group's documents and the estimates of its pairs."""
+    ids, own, sizes = (group.column(c).to_numpy() for c in ("id", "own", "n"))
+    low = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
+    return ids, estimates(own, sizes, low, percent)
+
+
+def _compared(percent: int):
+    def run(batches):
+        found, n = [], 0
+        for group in _runs(batches, ("node", "part")):
+            if group.num_rows < 2:
+                continue
+            ids, estimate = _likely(group, percent)
             i, j = first_pairs(estimate)
-        else:
+            found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])))
+            n += len(i)
+            if n > 10_000:
+                yield _pairs(found)
+                found, n = [], 0
+        yield _pairs(found)
+
+    return run
+
+
+def _unjoined(percent: int):
+    """Documents that have a likely pair in their group which the links so far do not join."""
+    def run(batches):
+        for group in _runs(batches, ("node", "part")):
+            joined = group.column("component").to_numpy()
+            if (joined == joined[0]).all():
+                continue
+            ids, estimate = _likely(group, percent)
             estimate[joined[:, None] == joined] = 0
-            i, j = np.nonzero(np.triu(estimate))
-        found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])))
-        n += len(i)
-        if n > 10_000:
-            yield _pairs(found)
-            found, n = [], 0
-    yield _pairs(found)
-
+            ids = ids[estimate.any(1)]
+            node = np.full(len(ids), group.column("node")[0].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(ids)], ["node", "id"])
+
+    return run
+
+
+def _in_place(groups: DataFrame, run, schema: str) -> DataFrame:
+    return groups.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(run, schema)
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """By pair of sets, how many elements they share. Elements of FEW sets are counted by pair, others by matrix product."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, element, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    both = np.zeros(n * n, np.int64)
+    rare = (count[element] > 1) & (count[element] <= FEW)
+    who, what = owner[rare], element[rare]
+    codes, held = [], 0
+    for apart in range(1, FEW):
+        at = np.flatnonzero(what[apart:] == what[:-apart])
+        if not len(at):
+            break
+        codes.append(who[at] * n + who[at + apart])
+        held += len(at)
+        if held > 1 << 21:
+            both += np.bincount(np.concatenate(codes), minlength=n * n)
+            codes, held = [], 0
+    if codes:
+        both += np.bincount(np.concatenate(codes), minlength=n * n)
+    both = both.reshape(n, n)
+    both += both.T
+    often = count[element] > FEW
+    who, what = owner[often], np.cumsum(np.diff(element[often], prepend=-1) != 0) - 1
+    for first in range(0, int(what[-1]) + 1 if len(what) else 0, COLUMNS):
+        a, b = np.searchsorted(what, (first, first + COLUMNS))
+        holds = np.zeros((n, COLUMNS), np.float32)
+        holds[who[a:b], what[a:b] - first] = 1
+        both += (holds @ holds.T).astype(np.int64)
+    return both
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect whatever all links connect: at most one fewer than documents."""
+    left, out = np.ones(len(linked), bool), []
+    for start in range(len(linked)):
+        if not left[start]:
+            continue
+        left[start], waiting = False, [start]
+        while waiting:
+            i = waiting.pop()
+            found = np.flatnonzero(linked[i] & left)
+            left[found] = False
+            out += [(i, j) for j in found]
+            waiting += found.tolist()
+    return out
+
+
+def _linked(percent: int):
+    """Links on full sets between documents of one group that are not in one component yet, as a spanning forest."""
+    def run(batches):
+        for group in _runs(batches, ("node", "part")):
+            ids, joined = (group.column(c).to_numpy() for c in ("id", "component"))
+            if (joined == joined[0]).all():
+                continue
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
+            sizes, both = np.array([len(x) for x in sets]), shared(sets)
+            linked = 100 * both >= percent * (sizes[:, None] + sizes - both)
+            linked &= joined[:, None] != joined
+            found = np.array(forest(linked), int).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[found[:, k]]) for k in (0, 1)], ["a", "b"])
 
-def _compared_in_place(groups: DataFrame) -> DataFrame:
-    return groups.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(_compared, "a long, b long").distinct()
+    return run
 
 
 def _whole_sets(batches):
@@ -242,58 +331,80 @@ def _whole_sets(batches):
                 pa.array([h[x:y].tobytes() for x, y in zip(first, first[1:])], pa.binary())], ["id", "hashes"])
 
 
-def _confirmed(batches):
-    one = {}
-    for batch in batches:
-        a, salt, b = (batch.column(c).to_pylist() for c in ("a", "salt", "b"))
-        sets = batch.column("hashes")
-        got = ([], [])
-        for i in range(batch.num_rows):
-            here = np.frombuffer(sets[i].as_buffer(), np.uint64)
-            if b[i] is None:
+def _confirmed(percent: int):
+    def run(batches):
+        one = {}
+        for batch in batches:
+            a, salt, b = (batch.column(c).to_pylist() for c in ("a", "salt", "b"))
+            sets = batch.column("hashes")
+            got = ([], [])
+            for i in range(batch.num_rows):
+                here = np.frombuffer(sets[i].as_buffer(), np.uint64)
+                if b[i] is None:
+                    if one.get("key") != (a[i], salt[i]):
+                        one = {"key": (a[i], salt[i]), "set": here.copy()}
+                    continue
                 if one.get("key") != (a[i], salt[i]):
-                    one = {"key": (a[i], salt[i]), "set": here.copy()}
-                continue
-            if one.get("key") != (a[i], salt[i]):
-                continue
-            both = len(np.intersect1d(one["set"], here, assume_unique=True))
-            if 100 * both >= PERCENT * (len(one["set"]) + len(here) - both):
-                got[0].append(a[i])
-                got[1].append(b[i])
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], ["a", "b"])
+                    continue
+                both = len(np.intersect1d(one["set"], here, assume_unique=True))
+                if 100 * both >= percent * (len(one["set"]) + len(here) - both):
+                    got[0].append(a[i])
+                    got[1].append(b[i])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], ["a", "b"])
+
+    return run
+
+
+def whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, hashes) of the documents in ``ids`` (_id)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(broadcast_if_small(ids), F.col("id") == F.col("_id"), "left_semi")
+    return stage(rows.mapInArrow(_whole_sets, "id long, hashes binary"), "sets")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
     The set of ``a`` meets those of at most about PAIRS_AT_ONCE partners in one place.
     """
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_AT_ONCE).cast("int").alias("salts"))
     ids = stage(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "paired")
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = rows.join(broadcast_if_small(ids), F.col("id") == F.col("_id"), "left_semi").mapInArrow(_whole_sets, "id long, hashes binary")
-    sets = stage(sets, "sets")
+    sets = whole_sets(docs, ids)
     hubs = degree.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
     spokes = pairs.join(degree, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b")
     met = sets.join(hubs.unionByName(spokes), "id").select("a", "salt", "b", "hashes")
     met = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return met.mapInArrow(_confirmed, "a long, b long").distinct()
+    return met.mapInArrow(_confirmed(percent), "a long, b long").distinct()
+
+
+def confirmed_in_place(docs: DataFrame, rest: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that join what the full sets of ``rest`` (node, id, n, component) link inside their nodes."""
+    sets = whole_sets(docs, rest.select(F.col("id").alias("_id")).distinct())
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(8 * F.sum("n") / TILE_BYTES)).cast("int")
+    dealt = rest.join(rest.groupBy("node").agg(parts.alias("parts")), "node")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", "id"), "parts").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    part = F.least("own", "other").cast("long") * F.col("parts") + F.greatest("own", "other")
+    blocks = dealt.select("node", part.alias("part"), "id", "component")
+    # A row that repeats an id has its set twice; a forest ignores that.
+    return _in_place(blocks.join(sets, "id"), _linked(percent), "a long, b long").where("a != b").distinct()
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept. Documents of ``percent`` similarity are linked."""
     signed = stage(signatures(docs), "signatures")
     full = signed.where("n > 0 AND id IS NOT NULL")
     classes = stage(full.groupBy("n", "set").agg(F.min("id").alias("id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "classes")
     groups, sketches = leaves(classes), classes.select("id", "n", "sketch")
-    pairs = stage(_compared_in_place(groups.join(sketches, "id")), "pairs")
-    links = stage(confirmed(docs, pairs), "links")
+    pairs = stage(_in_place(groups.join(sketches, "id"), _compared(percent), "a long, b long").distinct(), "pairs")
+    links = stage(confirmed(docs, pairs, percent), "links")
     larger = stage(groups.where("many").drop("many"), "larger")
     if larger.limit(1).count():
         joined = stage(components(links), "joined")
         again = larger.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sketches, "id")
-        rest = stage(_compared_in_place(again).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stage(confirmed(docs, rest), "links"))
+        rest = stage(_in_place(again, _unjoined(percent), "node long, id long").distinct(), "unjoined")
+        rest = rest.join(sketches.select("id", "n"), "id").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        links = links.unionByName(stage(confirmed_in_place(docs, stage(rest, "rest"), percent), "links"))
     # Equal sets, and rows that repeat an id, are links too.
     members = full.groupBy("n", "set", "id").agg(F.count(F.lit(1)).alias("rows")).join(classes.select("n", "set", F.col("id").alias("first")), ["n", "set"])
     equal = members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
@@ -303,8 +414,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with all their columns."""
     name = unused("_dropped", docs)
-    dropped = stage(near_copies(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    dropped = stage(near_copies(docs, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "dropped")
     return docs.join(broadcast_if_small(dropped), docs["doc_id"].cast("long") == F.col(name), "left_anti")
