@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib.util
 import math
-from collections import defaultdict
+import shutil
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -116,12 +117,14 @@ def test_mixed_documents_are_runs_of_words(spark):
     assert {i: n for i, n in taken.items() if n} == words
 
 
-def plain_top(vectors: dict, ids, k: int = 10) -> set:
-    whole = {i: [math.floor(1024 * x) for x in v] for i, v in vectors.items()}
-    out = set()
-    for q in ids:
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
-        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
+def plain_top(vectors: list, is_query, k: int = 10) -> Counter:
+    """Of every row that is a query, its k best among all other rows, those that repeat its id included."""
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors]
+    out = Counter()
+    for row, (q, own) in enumerate(whole):
+        if is_query(q):
+            scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for n, (i, v) in enumerate(whole) if n != row and len(v) == len(own))
+            out.update((q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k]))
     return out
 
 
@@ -132,12 +135,27 @@ def test_top_k_of_odd_vectors(spark, monkeypatch):
     good = {i: [turn.gauss(0, 1) for _ in range(6)] for i in range(300)}
     good |= {i: [0.5] * 6 for i in range(300, 420)}  # one common vector: ties
     good |= {500: [1.0, 2.0], 501: [-1.0, 0.25], 600: [3.0], 700: [1e12, -1e11], 800: [0.0] * 6}
-    rows = list(good.items()) + [(900, None), (901, []), (902, [1.0, None]), (903, [float("nan")] * 6), (904, [float("inf")] * 6), (None, [1.0] * 6), (300, [0.5] * 6)]
-    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("x", "q", "shard", "vector", "rank")})
+    good = [*good.items(), (300, [0.5] * 6), (100, [0.25] * 6), (100, [2.0] * 6), (1, [2.0] * 6), (1, [-1.0] * 6)]
+    rows = good + [(900, None), (901, []), (902, [1.0, None]), (903, [float("nan")] * 6), (904, [float("inf")] * 6), (None, [1.0] * 6)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("x", "q", "shard", "vector", "rank", "row", "asking")})
     monkeypatch.setattr(topk, "SHARD_ROWS", (40, 100))
-    got = {tuple(r) for r in topk.top_k(docs, F.col("vec_id") % 100 == 0).collect()}
-    assert got == plain_top(good, [i for i in good if i % 100 == 0])
+    got = Counter(tuple(r) for r in topk.top_k(docs, F.col("vec_id") % 100 == 0).collect())
+    assert got == plain_top(good, lambda i: i % 100 == 0)
     assert topk.top_k(docs.where("false"), F.lit(True)).collect() == []
+    few = spark.createDataFrame([(1, [1.0, 1.0]), (1, [2.0, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(few, F.lit(True)).collect()] == [(1, 1, 1, 2097152)] * 2
+
+
+def test_sql_of_repeated_ids(spark, tmp_path):
+    import random
+
+    turn = random.Random(5)
+    rows = [(i % 60 * 10, [turn.gauss(0, 1) for _ in range(4)]) for i in range(180)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1).write.parquet(f"{tmp_path}/written")
+    shutil.copy(next((tmp_path / "written").glob("part-*.parquet")), tmp_path / "embeddings.parquet")
+    for name in ("documents", "conversations"):  # the views of difference()
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path)
+    assert difference(queries.QUERIES["op5_top_k"](spark, str(tmp_path)), queries.ORACLES["op5_top_k"], str(tmp_path)) is None
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
