@@ -183,32 +183,37 @@ def parse_bytes(spark, sf_dir):
 MIXED = f"""mixed AS (SELECT doc_id, {fx.MIXED_SQL.format(t=sql_strip('text'), n='doc_id')} AS raw FROM documents)"""
 
 
-@query(f"WITH {MIXED} SELECT doc_id, {sql_clean('raw')} AS text FROM mixed WHERE raw IS NOT NULL")
+@query(f"""WITH {MIXED} SELECT doc_id, {sql_clean(f"CASE doc_id % 8 WHEN 5 THEN {sql_strip('text')} ELSE coalesce(raw, {sql_strip('text')}) END")} AS text
+FROM mixed JOIN documents USING (doc_id)""")
 def extract_text(spark, sf_dir):
-    rows = documents(spark, sf_dir).where("doc_id % 8 <> 6")  # malformed lines are json_lines' concern
-    record = F.parse_json(fx.mixed_record(F.col("text"), F.col("doc_id")))
+    """Records of every shape; where the mixed shape is malformed or holds no text, one with the text behind an empty field."""
+    rows, kind = documents(spark, sf_dir), F.col("doc_id") % 8
+    behind = F.to_json(F.struct(F.lit("").alias("text"), F.col("text").alias("content")))
+    record = F.parse_json(F.when(kind.isin(5, 6), behind).otherwise(fx.mixed_record(F.col("text"), F.col("doc_id"))))
     parsed = rows.select("doc_id", record.alias("record"))
     return parsed.select("doc_id", X.clean_text(X.record_text(F.col("record"))).alias("text"))
 
 
 @query("""SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN 'None' WHEN 2 THEN 'True' WHEN 3 THEN 'False'
   WHEN 4 THEN CAST(n_chars AS VARCHAR) WHEN 5 THEN n_chars || '.0' WHEN 6 THEN n_chars || '.25'
-  WHEN 7 THEN '-' || n_chars || '0000000.0' ELSE text END AS value FROM documents""")
+  WHEN 7 THEN '-' || n_chars || '0000000.0' ELSE text END AS value, text AS content FROM documents""")
 def record_value(spark, sf_dir):
     n, kind = F.col("n_chars").cast("string"), F.col("doc_id") % 9
 
+    beside = F.expr("substring(to_json(named_struct('content', text)), 2)")
+
     def holding(value):
-        return F.concat(F.lit('{"text": '), value, F.lit("}"))
+        return F.concat(F.lit('{"text": '), value, F.lit(", "), beside)
 
     line = (
-        F.when(kind == 0, '{"other": 1}').when(kind == 1, holding(F.lit("null")))
+        F.when(kind == 0, F.concat(F.lit('{"other": 1, '), beside)).when(kind == 1, holding(F.lit("null")))
         .when(kind == 2, holding(F.lit("true"))).when(kind == 3, holding(F.lit("false")))
         .when(kind == 4, holding(n)).when(kind == 5, holding(F.concat(n, F.lit(".0"))))
         .when(kind == 6, holding(F.concat(n, F.lit(".250")))).when(kind == 7, holding(F.concat(F.lit("-"), n, F.lit("e7"))))
-        .otherwise(X.json_row(F.col("text")))
+        .otherwise(F.to_json(F.struct("text", F.col("text").alias("content"))))
     )
     parsed = documents(spark, sf_dir).select("doc_id", F.parse_json(line).alias("record"))
-    return parsed.select("doc_id", X.python_str(X.variant_field(F.col("record"), "text")).alias("value"))
+    return parsed.select("doc_id", *(X.python_str(X.variant_field(F.col("record"), name)).alias(alias) for name, alias in (("text", "value"), ("content", "content"))))
 
 
 # --- sources ---------------------------------------------------------------------------------------
@@ -248,14 +253,14 @@ def text_lines(spark, sf_dir):
 
 
 @query(f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place,
-  {sql_clean("CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN lang || chr(10) || text ELSE '' END")} AS text FROM documents""")
+  {sql_clean("CASE doc_id % 3 WHEN 1 THEN lang || chr(10) || text ELSE text END")} AS text FROM documents""")
 def parquet_rows(spark, sf_dir):
     folder = fresh_path(spark, "tables")
     kind = F.col("doc_id") % 3
     documents(spark, sf_dir).orderBy("doc_id").select(
         F.col("doc_id").alias("title"),  # not a string: never taken
         F.when(kind == 0, F.col("text")).alias("content"),
-        F.when(kind == 1, F.col("text")).alias("output"),
+        F.when(kind != 0, F.col("text")).alias("output"),
         F.when(kind == 1, F.col("lang")).otherwise(" ").alias("instruction"),
     ).write.parquet(folder)
     return placed(files.parquet_rows(spark, folder, "*.parquet"), ONE_INPUT)
