@@ -1,7 +1,8 @@
 """Surrogates for personal data: detected entities get keyed, type-consistent replacements.
 
 Patterns find e-mail addresses, telephone, social security and card numbers, IP addresses, access keys, secrets
-that follow a name such as ``password=``, and names behind a title. A mention is one or more units (an
+that follow a name such as ``password=`` (behind ``:`` only those with a digit among their first letters), and up to four capitalised words behind
+a title. A telephone number of North America is one unit with and without its ``+1``. A mention is one or more units (an
 address, the digits of a number, each word of a name); a unit gets one surrogate everywhere, however
 it is written, so coreference stays. A surrogate is made from SHA-256 of a secret key and the unit:
 digits for digits, letters for letters of the same case, hexadecimal for hexadecimal, card numbers
@@ -14,7 +15,7 @@ all units, and a unit that fails gets its next candidate (longer ones after some
 DataFrame functions only. Text is read twice, the second time joined with the surrogates of its mentions.
 Defined results: a null text stays null, a text without mentions stays as it is; repeated rows get equal texts. Columns
 other than doc_id and text take no part. A unit or a document may have any share of all mentions:
-units are joined, never gathered.
+units are joined, never gathered. A mention of any length takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -29,17 +30,19 @@ _BYTE = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _FEMALE, _MALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra", "Mr|Herr|Monsieur|Señor|Sr"  # the longer of two comes first
 _NAME = r"\p{Lu}[\p{L}'’]+(?:-\p{Lu}[\p{L}'’]+)*+"
 _TITLE = rf"(?:{_FEMALE}|{_MALE}|Dr|Prof)\.?"
-_SECRET = r"(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi_?[Kk]ey)[ \t]*+[=:][ \t]*+[\"']?"
+_SECRET_NAME = r"(?:[Pp]assword|PASSWORD|[Pp]asswd|PASSWD|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa]pi_?[Kk]ey|API_?KEY)[ \t]*+"
+_SECRET = _SECRET_NAME + r"[=:][ \t]*+[\"']?"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": rf"(?<![A-Za-z]){_SECRET}(?=[A-Za-z_/+-]{{0,64}}[0-9])[A-Za-z0-9_/+-]{{8,}}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",  # possessive: the JVM would recurse
+    "secret": rf"(?<![A-Za-z]){_SECRET_NAME}(?:=[ \t]*+[\"']?|:[ \t]*+[\"']?(?=[A-Za-z_/+-]{{0,64}}[0-9]))[A-Za-z0-9_/+-]{{8,}}+",
     "aws": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{_BYTE}\.){{3}}{_BYTE}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"
-             r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])",
+             r"|\+[0-9]{1,3}[ .-]\(?[0-9]{1,3}\)?(?:[ .-][0-9]{2}){3,5}"
+             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9-])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "person": rf"(?<![\p{{L}}]){_TITLE} {_NAME}(?: {_NAME})?",
+    "person": rf"(?<![\p{{L}}]){_TITLE} {_NAME}(?: {_NAME}){{0,3}}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 NUMBERS = ("ssn", "phone", "card")
@@ -63,9 +66,13 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def _with_country(value: Column, kind: Column) -> Column:
+    return (kind == "phone") & value.startswith("+1") & (F.length(_digits(value)) == 11)
+
+
 def mentions(keyed: DataFrame) -> DataFrame:
     """(key, at, value, kind, part, type, unit) of all mentions in (key, text), one row per unit."""
-    found = keyed.where(F.col("text").rlike("[0-9@]|" + _TITLE)).select(
+    found = keyed.where(F.col("text").rlike("[0-9@=]|AKIA|" + _TITLE)).select(
         "key", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), 0)).alias("at", "value")).distinct()
     found = found.withColumn("kind", _kind(F.col("value")))
     value, kind = F.col("value"), F.col("kind")
@@ -77,6 +84,7 @@ def mentions(keyed: DataFrame) -> DataFrame:
         F.concat_ws("_", F.lit("name"), script(w), F.when((i == 0) & (F.size(names) > 1), gender).otherwise("s")).alias("type"), w.alias("unit")))
     unit = (
         F.when(kind == "email", F.lower(value)).when(kind == "secret", F.regexp_replace(value, "^" + _SECRET, ""))
+        .when(_with_country(value, kind), F.expr("substring(regexp_replace(value, '[^0-9]', ''), 2)"))
         .when(kind.isin(*NUMBERS), _digits(value)).otherwise(value)
     )
     parts = F.when(kind == "person", person).otherwise(F.array(F.struct(kind.alias("type"), unit.alias("unit"))))
@@ -95,21 +103,27 @@ def _letter(alphabet: str, at: Column) -> Column:
     return F.lit(alphabet).substr(at + 1, F.lit(1))
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, not once for each element of an array below."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _alike(text: Column, seed: Column) -> Column:
     """Each digit and letter replaced by one of its class; the rest stays."""
-    hexadecimal = text.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    def of(letters: int):
+        def one(c: Column, i: Column) -> Column:
+            return (
+                F.when(c.rlike("[0-9]"), _letter("0123456789", _drawn(seed, i + 1, 10)))
+                .when(c.rlike("[a-z]"), _letter("abcdefghijklmnopqrstuvwxyz", _drawn(seed, i + 1, letters)))
+                .when(c.rlike("[A-Z]"), _letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", _drawn(seed, i + 1, letters)))
+                .otherwise(c)
+            )
 
-    def one(i: Column) -> Column:
-        c = text.substr(i, F.lit(1))
-        return (
-            F.when(c.rlike("[0-9]"), _letter("0123456789", _drawn(seed, i, 10)))
-            .when(c.rlike("[a-z]"), _letter("abcdefghijklmnopqrstuvwxyz", _drawn(seed, i, F.when(hexadecimal, 6).otherwise(26))))
-            .when(c.rlike("[A-Z]"), _letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", _drawn(seed, i, F.when(hexadecimal, 6).otherwise(26))))
-            .otherwise(c)
-        )
+        return one
 
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(places, one), "")
+    characters = F.split(text, "")
+    hexadecimal = text.rlike("^(?:[0-9a-f]++|[0-9A-F]++)$")
+    return F.array_join(F.when(hexadecimal, F.transform(characters, of(6))).otherwise(F.transform(characters, of(26))), "")
 
 
 def _with_check_digit(digits: Column) -> Column:
@@ -145,11 +159,14 @@ def _name(type_: Column, seed: Column, longer: Column) -> Column:
 
 def candidate(type_: Column, unit: Column, attempt: int, key: str) -> Column:
     seed = F.sha2(F.concat_ws("|", F.lit(key), type_, unit, F.lit(str(attempt))), 256)
-    longer = max(0, attempt - LONGER_AFTER)
+    return _once(seed, lambda s: _candidate(type_, unit, s, max(0, attempt - LONGER_AFTER), key))
+
+
+def _candidate(type_: Column, unit: Column, seed: Column, longer: int, key: str) -> Column:
     more = F.array_join(F.array(*(_drawn(seed, 1000 + i, 10).cast("string") for i in range(longer))), "") if longer else F.lit("")
     local, domain = F.substring_index(unit, "@", 1), F.substring_index(unit, "@", -1)
-    host = F.regexp_replace(domain, r"\.[^.]*$", "")
-    host = _alike(host, F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), host), 256))
+    named = F.regexp_replace(domain, r"\.[^.]*$", "")
+    host = _once(F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), named), 256), lambda s: _alike(named, s))
     first, rest = unit.substr(F.lit(1), F.lit(1)), F.expr("substring(unit, 2)")
     numbers = [1 + _drawn(seed, 1, 223), _drawn(seed, 2, 256), _drawn(seed, 3, 256), 1 + _drawn(seed, 4, 254)]
     return (
@@ -188,7 +205,7 @@ def surrogates(units: DataFrame, key: str, make=candidate) -> DataFrame:
 
 def _written(value: Column, kind: Column, new: Column) -> Column:
     """The surrogates (array of parts) in the format of the mention."""
-    one = new[0]
+    one = F.when(_with_country(value, kind), F.concat(F.lit("1"), new[0])).otherwise(new[0])
 
     def digit(i: Column) -> Column:
         c = value.substr(i, F.lit(1))
