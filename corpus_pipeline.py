@@ -2,7 +2,7 @@
 
 quality      rows that the classifier rejects go
 exact_dedup  of equal texts the row with the smallest doc_id stays
-near_dedup   of each group of near copies the row with the smallest doc_id stays
+near_dedup   of each group of near copies (similarity 0.8 or more) the row with the smallest doc_id stays
 mix          words are mixed to the target weights of their sources; a row is a run of words taken
 encode       adds ``ids``, the SentencePiece ids of the text
 
@@ -20,6 +20,7 @@ from textmill.llm import exact_dedup, mixing, near_dedup, pieces, quality, queri
 from textmill.workspace import keep, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+NEAR_PERCENT = 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

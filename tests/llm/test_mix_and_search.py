@@ -189,7 +189,7 @@ def test_pipeline(spark):
             stays = {k[0] for k in plain.exact(before) if k[3]}
             assert sorted(after) == sorted(r for r in before if r[0] in stays) and len(after) < len(before)
         elif name == "near_dedup":
-            stays = {i for i, (_, c) in plain.near(before).items() if i == c}
+            stays = {i for i, (_, c) in plain.near(before, 80).items() if i == c}
             assert sorted(after) == sorted(r for r in before if r[0] in stays)
         elif name == "mix":
             taken = {r.doc_id: r.taken for r in mixing.taken_words(docs).collect() if r.taken}
