@@ -51,7 +51,7 @@ MIXED_SQL = """CASE {n} % 8 WHEN 3 THEN 'Title ' || {n} || chr(10) || {t} WHEN 5
 WHEN 6 THEN NULL WHEN 7 THEN 'q?' || chr(10) || {t} ELSE {t} END"""
 
 
-def json_files(df: DataFrame, folder: str, text: str, order: str) -> None:
+def json_files(df: DataFrame, folder: str, text: str, order: str, suffix: str = ".json") -> None:
     """JSON files of at most ``FILE_DOCS`` records: lists and each kind of envelope in turn."""
     rows = df.select(
         F.floor(F.col(order) / FILE_DOCS).cast("long").alias("g"), order,
@@ -74,7 +74,7 @@ def json_files(df: DataFrame, folder: str, text: str, order: str) -> None:
         if name.startswith("g="):
             for file in fs.listStatus(group.getPath()):
                 if file.getPath().getName().startswith("part-"):
-                    fs.rename(file.getPath(), hadoop.Path(folder, f"{name[2:]}.json"))
+                    fs.rename(file.getPath(), hadoop.Path(folder, f"{name[2:]}{suffix}"))
 
 
 def jsonl_folder(df: DataFrame, path: str, value: Column, order: str) -> None:

@@ -334,10 +334,22 @@ def multi_source(spark, sf_dir):
     return placed(files.read_corpus(spark, [missing, corpus_tree(spark, sf_dir)]), files.ORDER[:-1])
 
 
-@query("""SELECT * FROM (VALUES (0, 'jsonl'), (1, 'json'), (2, 'txt'), (3, 'parquet'), (4, 'jsonl')) AS f(file_class, kind)
-WHERE EXISTS (SELECT 1 FROM documents WHERE doc_id % 5 = file_class)""")
+LISTED = {"b": (".jsonl", 0, "jsonl"), "a": (".json", 1, "json"), "a/deep": (".json", 1, "json"), "c": (".txt", 2, "txt")}  # folder: suffix, class, kind
+LISTED_SQL = " UNION ALL ".join(
+    f"SELECT DISTINCT {c} AS file_class, '{kind}' AS kind, '{folder}/' || lpad(CAST(doc_id // {fx.FILE_DOCS} AS VARCHAR), 12, '0') || '{suffix}' AS path "
+    f"FROM documents WHERE doc_id % {len(LISTED)} = {n}" for n, (folder, (suffix, c, kind)) in enumerate(LISTED.items()))
+
+
+@query(f"""SELECT row_number() OVER (ORDER BY file_class, string_split(path, '/')) - 1 AS place, file_class, kind, path FROM ({LISTED_SQL})""")
 def input_files(spark, sf_dir):
-    return files.input_files(spark, corpus_tree(spark, sf_dir)).select("file_class", "kind").distinct()
+    """Every file by its place in reading order; documents are dealt to the folders, a file holds a range of ids."""
+    folder, docs = fresh_path(spark, "listed"), documents(spark, sf_dir)
+    for n, (name, (suffix, _, _)) in enumerate(LISTED.items()):
+        fx.json_files(docs.where(F.col("doc_id") % len(LISTED) == n), f"{folder}/{name}", "text", "doc_id", suffix)
+    found = stage(files.input_files(spark, folder), "files")
+    numbered = order.position(found, "place", [F.col("file_class")], [F.col("file_parts")])
+    path = F.substring_index(F.array_join("file_parts", "/"), "/listed/", -1)
+    return numbered.select("place", "file_class", "kind", path.alias("path"))
 
 
 # --- sources one after another and interleaved -------------------------------------------------------
