@@ -215,9 +215,35 @@ def test_repeated_strings(spark, seed, monkeypatch):
     texts.append(passage + " " + passage)
     if seed:
         monkeypatch.setattr(repeats, "SORT_GROUP", 3)
+        monkeypatch.setattr(repeats, "HOT_ROWS", 2)
+    if seed == 2:
+        monkeypatch.setattr(repeats, "BLOCK_BITS", 2)
+        monkeypatch.setattr(repeats, "PART_NAMES", 100)
     assert repeats_of(spark, texts) == plain.repeated_bytes([t.encode() for t in texts])
 
 
+def test_repeated_strings_of_near_copies(spark, monkeypatch):
+    """Many copies with a change of their own each: names of a context's strings stay in rows by block."""
+    turn, words = random.Random(8), plain.prose(77, 120).split(" ")
+    texts = []
+    for i in range(120):
+        own = list(words)
+        own[turn.randrange(120)] = f"w{i % 90}"
+        texts.append(" ".join(own))
+    monkeypatch.setattr(repeats, "SORT_GROUP", 16)
+    rows = []
+    named = repeats._named
+
+    def counted(length, parts):
+        run = named(length, parts)
+        rows.append((length, parts))
+        return run
+
+    monkeypatch.setattr(repeats, "_named", counted)
+    assert repeats_of(spark, texts) == plain.repeated_bytes([t.encode() for t in texts])
+    assert rows == [(200, 1)]  # all names meet in one part
+
+
 def test_repeated_strings_of_repeated_rows(spark):
     rows = [(1, "x" * 10 + plain.prose(9, 60), None, None, None)] * 2 + [(2, plain.prose(10, 80), None, None, None)]
     got = sorted(tuple(r)[:3] for r in repeats.without_repeats(plain.table(spark, rows, False)).collect())

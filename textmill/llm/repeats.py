@@ -15,6 +15,11 @@ phrases, with their context, are sorted as byte strings; neighbours that agree i
 are repeated positions. So the suffix array of the dictionary is only built where the parse leaves
 a choice, which for repetitive text is a small part of it.
 
+A context with very many entries (copies that differ a little around the same trigger) is not sorted in one place. Its
+entries stay in blocks; a block names each of its strings once, by 128 bits of hash, the names of all blocks meet by
+hash part, and each block hears which of its names another string has, too. So a string that every copy has
+travels once a block.
+
 A position with no trigger near belongs to the first smallest hash in its reach. Which of the two applies, and where,
 depends on the bytes of the position's own string alone, so equal strings meet.
 
@@ -44,9 +49,13 @@ EVERY = 64  # one position in so many triggers
 FAR_AT_ONCE = 4_096
 BROADCAST_WIDTH = 32  # bytes of a context in a broadcast
 SORT_GROUP = 2_048  # entries of one context sorted in one place
+BLOCK_BITS = 10  # a block of a large context has so many bits of entries
+PART_NAMES = 1 << 20  # names that meet in one place, on average
+HOT_ROWS = 1_000  # phrases of an entry from which on the entry may be sent to all tasks
+HOT_ENTRIES = 200_000  # entries sent at most
 
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_SECOND = 0xD1342543DE82EF95
 _STEP = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -59,11 +68,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 class Hashed:
     """Prefix sums that give the hash of any run of bytes of a slice."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, base: int = _BASE):
         n = len(data)
         with np.errstate(over="ignore"):
-            self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers(_BASE, n), dtype=np.uint64)))
-        self.shift = powers(_INVERSE, n + 1)
+            self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers(base, n), dtype=np.uint64)))
+        self.shift = powers(pow(base, -1, 1 << 64), n + 1)
 
     def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -152,6 +161,15 @@ def _entry_texts(length: int):
     return run
 
 
+_NAME = np.dtype([("w", np.int64), ("v", np.int64)])
+
+
+def _pairs(w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    out = np.empty(len(w), _NAME)
+    out["w"], out["v"] = w, v
+    return out
+
+
 class Suffixes:
     """All positions of some entries: which entry (owner), which position (place), and a key of the position's
     string together with its context and its distance to the trigger."""
@@ -166,9 +184,16 @@ class Suffixes:
         self.place = np.arange(len(self.owner)) - np.repeat(np.cumsum(n) - n, n)
         self.begin = (np.cumsum(lengths) - lengths)[self.owner] + self.place
         self.q, self.distance = q[self.owner], (back[self.owner] - self.place).astype(np.int64)
+        self.key = self._hash(_BASE)
+
+    def _hash(self, base: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             led = mixed(self.q.view(np.uint64)) + self.distance.astype(np.uint64)
-            self.key = mixed(Hashed(self.data)(self.begin, self.begin + length) ^ mixed(led))
+            return mixed(Hashed(self.data, base)(self.begin, self.begin + self.length) ^ mixed(led))
+
+    def names(self) -> np.ndarray:
+        """128 bits for each position's string."""
+        return _pairs(self.key.view(np.int64), self._hash(_SECOND).view(np.int64))
 
     def equal_to_a_neighbour(self) -> np.ndarray:
         """Places in these arrays whose string stands beside an equal one in suffix order.
@@ -187,18 +212,21 @@ class Suffixes:
         return some[np.union1d(order[1:][same], order[:-1][same])]
 
 
+def _by_entry(table: pa.Table, suffixes: Suffixes, some: np.ndarray) -> pa.Table:
+    """(q, e, at): the positions ``some`` (in order) of the entries that have any."""
+    entry, first = np.unique(suffixes.owner[some], return_index=True)
+    at = pa.ListArray.from_arrays(pa.array(np.append(first, len(some)), pa.int32()), pa.array(suffixes.place[some], pa.int32()))
+    q, e = (pa.array(table.column(c).to_numpy()[entry]) for c in ("q", "e"))
+    return pa.Table.from_arrays([q, e, at], ["q", "e", "at"])
+
+
 def _neighbours(length: int):
     """Sort the suffixes of the entries of each context; give by entry (q, e) the positions equal to a neighbour."""
 
     def sorted_part(held):
         table = pa.Table.from_batches(held)
         suffixes = Suffixes(table, length)
-        twice = suffixes.equal_to_a_neighbour()
-        entry, first = np.unique(suffixes.owner[twice], return_index=True)
-        at = pa.ListArray.from_arrays(
-            pa.array(np.append(first, len(twice)), pa.int32()), pa.array(suffixes.place[twice], pa.int32()))
-        q, e = (pa.array(table.column(c).to_numpy()[entry]) for c in ("q", "e"))
-        return pa.RecordBatch.from_arrays([q, e, at], ["q", "e", "at"])
+        return _by_entry(table, suffixes, suffixes.equal_to_a_neighbour()).to_batches()
 
     def run(batches):
         held, last, size = [], None, 0
@@ -209,32 +237,80 @@ def _neighbours(length: int):
             cuts = [0, *(np.flatnonzero(np.diff(q)) + 1), len(q)]
             for a, b in zip(cuts, cuts[1:]):
                 if held and q[a] != last and size > SORT_GROUP:
-                    yield sorted_part(held)
+                    yield from sorted_part(held)
                     held, size = [], 0
                 last = q[a]
                 held.append(batch.slice(a, b - a))
                 size += b - a
         if held:
-            yield sorted_part(held)
+            yield from sorted_part(held)
 
     return run
 
 
-def _spelled(length: int):
-    """For contexts with very many entries: (w, q, e, at) with a hash of the position's string."""
+def _named(length: int, parts: int):
+    """Names of the strings of each block: (part, block, w, v, twice), one row per block and hash part; a name
+    stands once in a row, ``twice`` says whether several positions of these entries have it."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                table = pa.Table.from_batches([batch.slice(at, 1_000)])
-                suffixes = Suffixes(table, length)
-                q, e = (table.column(c).to_numpy()[suffixes.owner] for c in ("q", "e"))
-                yield pa.RecordBatch.from_pydict({
-                    "w": suffixes.key.view(np.int64), "q": q, "e": e, "at": suffixes.place.astype(np.int32)})
+            block = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                names, count = np.unique(Suffixes(pa.Table.from_batches([batch.slice(a, b - a)]), length).names(), return_counts=True)
+                part = (np.ascontiguousarray(names["v"]).view(np.uint64) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                names, twice, part = names[order], count[order] > 1, part[order]
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                at = np.append(first, len(part)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[first], pa.int64()), pa.array(np.full(len(first), block[a]), pa.int64()),
+                     *(pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(x))) for x in (names["w"], names["v"], twice))],
+                    ["part", "block", "w", "v", "twice"])
 
     return run
 
 
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _shared_names(table: pa.Table) -> pa.Table:
+    """Of the names of one part: those that a block's strings share with another string, by block."""
+    sizes = table.column("w").combine_chunks().value_lengths().to_numpy()
+    block = np.repeat(table.column("block").to_numpy(), sizes)
+    names, at, count = np.unique(_pairs(_flat(table, "w"), _flat(table, "v")), return_inverse=True, return_counts=True)
+    many = count > 1
+    many[at[_flat(table, "twice")]] = True
+    some = np.flatnonzero(many[at])
+    some = some[np.argsort(block[some], kind="stable")]
+    first = np.flatnonzero(np.diff(block[some], prepend=block[some[0]] - 1)) if len(some) else some
+    cuts = np.append(first, len(some)).astype(np.int32)
+    w, v = (pa.ListArray.from_arrays(cuts, pa.array(np.ascontiguousarray(names[at[some]][c]))) for c in ("w", "v"))
+    return pa.Table.from_arrays([pa.array(block[some[first]], pa.int64()), w, v], ["block", "w", "v"])
+
+
+def _places(length: int):
+    """Positions, by entry, of a block's strings whose names are shared."""
+
+    def run(entries: pa.Table, shared: pa.Table) -> pa.Table:
+        suffixes = Suffixes(entries, length)
+        some = np.flatnonzero(np.isin(suffixes.names(), _pairs(_flat(shared, "w"), _flat(shared, "v")))) if shared.num_rows else []
+        return _by_entry(entries, suffixes, np.asarray(some, np.int64))
+
+    return run
+
+
+def _told_by_names(large: DataFrame, length: int) -> DataFrame:
+    """(q, e, at) for the entries of contexts with very many of them; ``large`` is written and has block."""
+    parts = -(-int(large.agg(F.sum("n")).first()[0] or 1) // PART_NAMES)
+    names = large.mapInArrow(_named(length, parts), "part long, block long, w array<long>, v array<long>, twice array<boolean>")
+    shared = names.groupBy("part").applyInArrow(_shared_names, "block long, w array<long>, v array<long>")
+    return large.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_places(length), "q long, e long, at array<int>")
+
+
 def repeated_runs(docs: DataFrame, length: int = LENGTH, context: int = CONTEXT) -> DataFrame:
     """Repeated positions: key, low, high and at; all from low to high, or those of ``at`` (counted from low).
 
@@ -256,16 +332,19 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, context: int = CONTEXT)
     sizes = several.where(F.col("entries") > SORT_GROUP).select(F.col("q").alias("_q"))
     small = cut.join(sizes, F.col("q") == F.col("_q"), "left_anti").repartition("q").sortWithinPartitions("q", "e")
     found = small.mapInArrow(_neighbours(length), "q long, e long, at array<int>")
-    large = stage(cut.join(sizes, F.col("q") == F.col("_q"), "left_semi").mapInArrow(
-        _spelled(length), "w long, q long, e long, at int").distinct(), "large_contexts")
-    again = large.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
-    counted = large.join(again, "w").groupBy("q", "e").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    large = cut.join(sizes, F.col("q") == F.col("_q"), "left_semi")
+    large = stage(large.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)), "large_contexts")
     # Rows that repeat bring an entry twice; it is a whole one then, and what is found for it makes no difference.
-    partly = found.unionByName(counted)
-    known = entries.select("q", "e", (F.col("n") > 1).alias("whole"))
-    marked = parse.join(known, ["q", "e"]).join(partly, ["q", "e"], "left").where("whole OR at IS NOT NULL")
+    partly = found.unionByName(_told_by_names(large, length))
+    # All phrases of an entry that occurs twice are repeated. Entries with very many phrases are few, whatever the input,
+    # so their phrases stay where they are.
+    least = max(HOT_ROWS, parse.count() // HOT_ENTRIES)
+    hot = F.broadcast(entries.where(F.col("n") > least).select("q", "e"))  # fewer than HOT_ENTRIES
+    known = entries.where(F.col("n") <= least).select("q", "e", (F.col("n") > 1).alias("whole"))
+    marked = parse.join(hot, ["q", "e"], "left_anti").join(known, ["q", "e"]).join(partly, ["q", "e"], "left").where("whole OR at IS NOT NULL")
     marked = marked.select("key", "low", "high", F.when(~F.col("whole"), F.col("at")).alias("at"))
-    return stage(marked, "marked")
+    of_hot = parse.join(hot, ["q", "e"], "left_semi").select("key", "low", "high", F.lit(None).cast("array<int>").alias("at"))
+    return stage(marked.unionByName(of_hot), "marked")
 
 
 def _cut_out(length: int):
