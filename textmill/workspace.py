@@ -45,6 +45,14 @@ class _Staged:
 _block: ContextVar[_Staged | None] = ContextVar("textmill_staged", default=None)
 
 
+def block_path(spark: SparkSession, name: str) -> str:
+    """A fresh path; what is written there is deleted at the end of the ``staging`` block, if there is one."""
+    path, block = fresh_path(spark, name), _block.get()
+    if block is not None:
+        block.paths.append(path)
+    return path
+
+
 def _write(df: DataFrame, name: str, block: _Staged | None, folders: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
     path = fresh_path(df.sparkSession, name)
     if block is not None:
