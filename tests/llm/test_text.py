@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from textmill.llm import pieces, quality, surrogates, token_counts
+from textmill.llm import pieces, quality, sizes, surrogates, token_counts
 from textmill.llm.queries import BYTE_BPE, PIECES, tokenizer_path
 
 
@@ -228,3 +228,24 @@ def test_quality_of_odd_rows(spark, odd):
     for some, score in ((labels.where("false"), 0.5), (labels.where("quality = 1"), 1.0)):
         assert {r.score for r in quality.score(odd, quality.fit(odd, some)).collect()} == {score}
     assert quality.score(plain.table(spark, []), model).collect() == []
+
+
+def test_objects_travel_without_the_package(spark, tmp_path):
+    """What tasks are handed can be unpacked where the package is not installed."""
+    import subprocess
+    import sys
+
+    class Context:  # keeps what would be broadcast
+        def broadcast(self, value):
+            self.value = value
+            return self
+
+    class Session:
+        sparkContext = Context()
+
+    model = quality.Model(np.zeros(4), np.ones(4), 0.5, 1.0, 0.0)
+    assert sizes.handed_out(Session, model)().intercept == 0.5
+    (tmp_path / "model").write_bytes(Session.sparkContext.value)
+    read = "import pickle, sys; m = pickle.load(open('model', 'rb')); assert 'textmill' not in sys.modules; print(m.constant, m.ratio.sum())"
+    got = subprocess.run([sys.executable, "-c", read], cwd=tmp_path, env={}, capture_output=True, text=True)
+    assert got.stdout.split() == ["None", "4.0"], got.stderr

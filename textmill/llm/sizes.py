@@ -1,8 +1,12 @@
-"""Broadcast only what was measured; names that are free."""
+"""Broadcast only what was measured; objects that travel with their code; names that are free."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pickle
+from collections.abc import Callable
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 48 << 20
@@ -14,6 +18,15 @@ def sent_if_small(df: DataFrame, width: Column, limit: int = BROADCAST_BYTES) ->
     return F.broadcast(df) if size <= limit else df
 
 
+def handed_out(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast ``value`` with the code of its classes; a task calls the result once and keeps the object while it runs.
+
+    Workers need not have the package, and between tasks they hold the packed bytes only.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def unused(name: str, df: DataFrame) -> str:
     """``name``, made longer until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

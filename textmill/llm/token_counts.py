@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import handed_out
+
 LIMIT = 512
 CACHE_WORDS = 500_000
 TEXTS_AT_ONCE = 256
@@ -127,10 +129,10 @@ class Counts:
 
 def token_counts(docs: DataFrame, m: Merges, limit: int = LIMIT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit."""
-    sent = docs.sparkSession.sparkContext.broadcast(m)
+    sent = handed_out(docs.sparkSession, m)
 
     def run(batches):
-        counts = Counts(sent.value)
+        counts = Counts(sent())
         for batch in batches:
             n = []
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
