@@ -20,12 +20,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import broadcast_if_small, stage
+from .sizes import handed_out
 from .words import Slice, grams, mixed, slices, word_hashes, words
 
 FEATURES = 1 << 18
@@ -33,6 +33,7 @@ SAMPLE_ROWS = 8_000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
+SLICE_BYTES = 1 << 18  # of text that are worked on at once
 KEEP_SCORE = 0.3
 
 
@@ -96,7 +97,7 @@ def _class_counts(batches):
     for batch in batches:
         label = batch.column("_label").to_numpy()
         rows += np.bincount(label, minlength=2)
-        for s in slices(batch.column("text")):
+        for s in slices(batch.column("text"), SLICE_BYTES):
             f, t = features(s)
             for y in (0, 1):
                 counts[y] += np.bincount(f[label[s.first + t] == y], minlength=FEATURES)
@@ -109,7 +110,7 @@ def _class_counts(batches):
 def _sample_features(batches):
     for batch in batches:
         label = batch.column("_label").to_pylist()
-        for s in slices(batch.column("text")):
+        for s in slices(batch.column("text"), SLICE_BYTES):
             f, t = features(s)
             cuts = np.searchsorted(t, np.arange(len(s) + 1))
             yield pa.RecordBatch.from_pydict({
@@ -117,7 +118,25 @@ def _sample_features(batches):
                 "features": pa.array([f[a:b].astype(np.int32) for a, b in zip(cuts, cuts[1:])], pa.list_(pa.int32()))})
 
 
-def dual_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int) -> np.ndarray:
+class Rows:
+    """Unit-length sparse rows: row i has its features, each with its ratio, and 1 for the intercept, over their length.
+
+    Only the features are held, one after the other; values are made when a row is asked for.
+    """
+
+    def __init__(self, features: np.ndarray, cuts: np.ndarray, ratio: np.ndarray):
+        self.features, self.cuts, self.value = features, cuts, np.append(ratio, 1.0)
+
+    def __len__(self) -> int:
+        return len(self.cuts) - 1
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        index = np.append(self.features[self.cuts[i] : self.cuts[i + 1]], len(self.value) - 1)
+        value = self.value[index]
+        return index, value / np.sqrt(value @ value)
+
+
+def dual_descent(rows: Rows, y: np.ndarray, size: int) -> np.ndarray:
     """Hinge-loss weights (the last one is the intercept) of unit-length sparse rows (index, value)."""
     w, alpha = np.zeros(size), np.zeros(len(rows))
     turn = np.random.default_rng(1)
@@ -171,26 +190,25 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_
     sample = stage(sample.mapInArrow(_sample_features, "label int, features array<int>"), "features")
 
     def fit_rows(batches):
-        parts = [b for b in batches if len(b)]
-        rows, y = [], []
-        for part in parts:
-            for label, f in zip(part.label, part.features):
-                value = np.append(ratio[f], 1.0)
-                rows.append((np.append(f, FEATURES), value / np.sqrt(value @ value)))
-                y.append(2 * label - 1)
-        y = np.array(y, float)
+        labels, found, sizes = [], [], []
+        for part in batches:
+            labels.append(part.column("label").to_numpy())
+            found.append(part.column("features").flatten().to_numpy().copy())
+            sizes.append(part.column("features").value_lengths().to_numpy())
+        rows = Rows(np.concatenate(found), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))), ratio)
+        y = 2.0 * np.concatenate(labels) - 1
         w = dual_descent(rows, y, FEATURES + 1)
-        slope, offset = sigmoid_of(np.array([w[i] @ v for i, v in rows]), y)
-        yield pd.DataFrame({"w": [w.tobytes()], "slope": [slope], "offset": [offset]})
+        slope, offset = sigmoid_of(np.array([w[i] @ v for i, v in (rows[k] for k in range(len(rows)))]), y)
+        yield pa.RecordBatch.from_pydict({"w": [w.tobytes()], "slope": [slope], "offset": [offset]})
 
-    got = sample.coalesce(1).mapInPandas(fit_rows, "w binary, slope double, offset double").first()
+    got = sample.coalesce(1).mapInArrow(fit_rows, "w binary, slope double, offset double").first()
     w = np.frombuffer(got["w"])
     return Model(w[:FEATURES] * ratio, ratio, float(w[FEATURES]), got["slope"], got["offset"])
 
 
 def _scored(batch: pa.RecordBatch, model: Model) -> np.ndarray:
     out = np.empty(batch.num_rows)
-    for s in slices(batch.column("text")):
+    for s in slices(batch.column("text"), SLICE_BYTES):
         f, t = features(s)
         out[s.first : s.first + len(s)] = model.scores(f, t, len(s))
     return out
@@ -198,11 +216,12 @@ def _scored(batch: pa.RecordBatch, model: Model) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 * FEATURES numbers
+    sent = handed_out(docs.sparkSession, model)  # 2 * FEATURES numbers
 
     def run(batches):
+        model = sent()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scored(batch, sent.value))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scored(batch, model))], ["doc_id", "score"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -211,10 +230,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_rejected(docs: DataFrame, model: Model, least: float = KEEP_SCORE) -> DataFrame:
     """Rows of ``docs`` whose score is at least ``least``, with all their columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = handed_out(docs.sparkSession, model)
 
     def run(batches):
+        model = sent()
         for batch in batches:
-            yield batch.filter(pa.array(_scored(batch, sent.value) >= least))
+            yield batch.filter(pa.array(_scored(batch, model) >= least))
 
     return docs.mapInArrow(run, docs.schema)
