@@ -30,9 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from .sizes import handed_out
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_PARTS = 400_000
+CACHE_BYTES = 48 << 20  # of the parts a task remembers
+PART_BYTES = 250  # of a part and its ids, besides their own bytes
 TEXTS_AT_ONCE = 256
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6  # kinds of pieces in the model file
 
@@ -217,20 +220,22 @@ def _spelled(v: Vocabulary, character: np.ndarray) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts; remembers at most CACHE_PARTS parts."""
+    """Encodes texts; remembers parts of about CACHE_BYTES, and starts anew beyond that."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known, self.cut = v, {}, re.compile(v.parts).findall
+        self.v, self.known, self.held, self.cut = v, {}, 0, re.compile(v.parts).findall
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t.replace(" ", MARK) if t else "" for t in texts]
         parts = [self.cut(MARK + t if t and self.v.prefix else t) for t in texts]
         new = set().union(*parts).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PARTS:
-            self.known, new = {}, set().union(*parts)
+        if self.held > CACHE_BYTES:
+            self.known, self.held, new = {}, 0, set().union(*parts)
         new = sorted(new)
         if new:
-            self.known.update(zip(new, best_cuts(self.v, new)))
+            cuts = best_cuts(self.v, new)
+            self.known.update(zip(new, cuts))
+            self.held += PART_BYTES * len(new) + sum(map(len, new)) + sum(map(len, cuts))
         return [b"".join(map(self.known.__getitem__, p)) for p in parts]
 
 
@@ -249,13 +254,13 @@ def _encoded(column: pa.Array, encoder: Encoder):
 
 def encode(docs: DataFrame, v: Vocabulary, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out`` (array<int>), the ids of ``text``; a column of that name is replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast(v)
+    sent = handed_out(docs.sparkSession, v)
     docs = docs.select(*(c for c in docs.columns if c != out))
     schema = StructType([*docs.schema.fields, StructField(out, ArrayType(IntegerType()))])
     position = docs.columns.index(text)
 
     def run(batches):
-        encoder = Encoder(sent.value)
+        encoder = Encoder(sent())
         for batch in batches:
             rows = list(chain.from_iterable(_encoded(batch.column(position), encoder)))
             offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
@@ -267,14 +272,15 @@ def encode(docs: DataFrame, v: Vocabulary, text: str = "text", out: str = "ids")
 
 def decoded(rows: DataFrame, v: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``, the text of ``ids`` (null stays null)."""
-    sent = rows.sparkSession.sparkContext.broadcast(v)
+    sent = handed_out(rows.sparkSession, v)
     rows = rows.select(*(c for c in rows.columns if c != out))
     schema = StructType([*rows.schema.fields, StructField(out, StringType())])
     position = rows.columns.index(ids)
 
     def run(batches):
+        v = sent()
         for batch in batches:
-            texts = [None if x is None else decode(sent.value, np.array(x, np.int32)) for x in batch.column(position).to_pylist()]
+            texts = [None if x is None else decode(v, np.array(x, np.int32)) for x in batch.column(position).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     return rows.mapInArrow(run, schema)
@@ -282,10 +288,11 @@ def decoded(rows: DataFrame, v: Vocabulary, ids: str = "ids", out: str = "decode
 
 def round_trips(docs: DataFrame, v: Vocabulary) -> DataFrame:
     """doc_id, n_ids, n_byte_ids, ids_sha256 (of the ids as little-endian int32), decoded_sha256, exact."""
-    sent = docs.sparkSession.sparkContext.broadcast(v)
+    sent = handed_out(docs.sparkSession, v)
 
     def run(batches):
-        v, encoder = sent.value, Encoder(sent.value)
+        v = sent()
+        encoder = Encoder(v)
         for batch in batches:
             column, at = batch.column("text"), 0
             for group in _encoded(column, encoder):
