@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..workspace import broadcast_if_small, fresh_path, stage
+from ..workspace import block_path, broadcast_if_small, stage
 from .sizes import unused
 
 # Rows of one group that meet the text of the row that stays in one place.
@@ -29,7 +29,8 @@ _STATE_SETTINGS = {
     _STORE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     _STORE + "rocksdb.changelogCheckpointing.enabled": "true",
     _STORE + "rocksdb.boundedMemoryUsage": "true",
-    _STORE + "rocksdb.maxMemoryUsageMB": "400",
+    _STORE + "rocksdb.maxMemoryUsageMB": "128",
+    _STORE + "maintenanceInterval": "15s",  # how soon executors close the stores of a stream that has ended
     _STORE + "rocksdb.allowFAllocate": "false",  # else each state partition reserves megabytes of disk it does not use
 }
 _ENTRY = "digest string, first struct<last: boolean, id: bigint, locator: string>, n bigint, batch int"
@@ -96,7 +97,7 @@ def exact_copies(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -
     groups, a weak one only makes more hits that turn out to differ.
     """
     spark = docs.sparkSession
-    arrivals, state, checkpoint = (fresh_path(spark, name) for name in ("arrivals", "state", "checkpoint"))
+    arrivals, state, checkpoint = (block_path(spark, name) for name in ("arrivals", "state", "checkpoint"))
     texts_of(docs).select(
         "id", digest(F.col("t")).cast("string").alias("digest"), sha256(F.col("t")).alias("sha"),
         F.input_file_name().alias("locator"),
