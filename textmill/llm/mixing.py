@@ -33,6 +33,8 @@ SHARE = 1.5
 MOST_PASSES = 2
 BLOCK_WORDS = 64
 SHARD_SLOTS = 65_536
+RANGE_SLOTS = 4_096  # slots made from one row
+TASK_SLOTS = 131_072  # slots made by one task, on average
 PERMUTATION_ROUNDS = 8
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -156,7 +158,11 @@ def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, shard_slots: int = S
     counts = shard_counts(sources, slots, seed, shard_slots) if slots else docs.sparkSession.createDataFrame([], "shard long, s int, n long")
     earlier = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     runs = counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(sources.select("s", "blocks"), "s")
-    nth = runs.select("s", "shard", "blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("nth"))
+    end = F.col("first") + F.col("n") - 1
+    ranges = runs.select("s", "shard", "blocks", end.alias("end"), F.explode(F.sequence("first", end, F.lit(RANGE_SLOTS))).alias("at"))
+    # A number of its own: by their bytes these few rows would all be one task's, which then makes every slot.
+    ranges = ranges.repartition(max(1, -(-slots // TASK_SLOTS)), "s", "at")
+    nth = ranges.select("s", "shard", "blocks", F.explode(F.sequence("at", F.least("end", F.col("at") + RANGE_SLOTS - 1))).alias("nth"))
     taken = nth.withColumn("epoch", F.floor(F.col("nth") / F.col("blocks"))).withColumn("block", F.pmod("nth", "blocks"))
     block = permuted(F.col("block"), F.col("blocks"), [F.col("s"), F.col("epoch")], seed)
     return Mix(rows, sources, pieces, taken.withColumn("block", block))
