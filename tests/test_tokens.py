@@ -1,6 +1,9 @@
 import json
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, trainers
@@ -97,6 +100,67 @@ def test_rounds_read_what_they_need(spark, trained, docs):
     assert min(r.rows for r in later) < words
 
 
+def test_the_first_rounds_write_no_index(spark, trained, docs, monkeypatch):
+    """A word goes once to a round, not once for each of its pairs; with an index the merges are the same."""
+    few = V.pretoken_freq(docs.where("doc_id < 60"))
+    built = []
+    write = V.WordIndex._write_index
+    monkeypatch.setattr(V.WordIndex, "_write_index", lambda self, *a: built.append(a[1]) or write(self, *a))
+    scanned = V.train_bpe(few, 120)
+    assert not built and {r.rows for r in scanned.rounds if not r.whole} <= {r.rows for r in scanned.rounds if r.whole}
+    monkeypatch.setattr(V, "IDLE_SCANS", 0)
+    indexed = V.train_bpe(few, 120)
+    assert built and indexed.merges == scanned.merges == trained[0].merges[:len(scanned.merges)]
+
+
+def test_places_of_a_repeated_symbol():
+    """Differences of pair counts are those of all pairs before and after, runs of one symbol included."""
+    turn, sums = random.Random(5), V._Sums()
+    words = ["".join(turn.choice("aab") for _ in range(turn.randint(2, 9))) for _ in range(200)] + ["aaaa", "aaa", "b"]
+    freq = np.arange(1, len(words) + 1)
+    merges = [("aa", "\U00010005"), ("\U00010005b", "\U00010006"), ("\U00010005\U00010005", "\U00010007")]
+    assert V._merged("\n".join(words), freq, merges, sums) == sum("aa" in w for w in words)
+    got = {(r["step"], r["pair"]): r["n"] for r in sums.batch().to_pylist()}
+    wanted = Counter()
+    for step, (pair, char) in enumerate(merges):
+        for i, w in enumerate(words):
+            new = w.replace(pair, char)
+            if new != w:
+                for x, sign in ((w, -1), (new, 1)):
+                    for p in zip(x, x[1:]):
+                        wanted[step, "".join(p)] += sign * int(freq[i])
+            words[i] = new
+    assert got == {k: n for k, n in wanted.items() if n}
+
+
+def test_stretches_between_blanks(trained):
+    """Cutting at blanks before splitting into words gives the same ids, whatever white space stands around."""
+    ours, theirs = trained
+    words, turn = E._WordEncoder(ours.tokens, ours.merges, True), random.Random(6)
+    parts = [*" \n\t\u3000\x1cab'st1\u00e9", "  ", " \n", "\n ", "\u00a0", "'s", "the ", "  in", "x" * 60]
+    for _ in range(3_000):
+        text = "".join(turn.choice(parts) for _ in range(turn.randint(0, 14)))
+        ids = theirs.encode(text, add_special_tokens=False).ids
+        assert all(words.text(text, limit) == ids[:limit] for limit in (None, 1, 4, 300)), repr(text)
+
+
+def test_ids_leave_in_slices(spark, trained, monkeypatch):
+    """A worker hands on the ids of a few rows at a time, and remembers few words; results do not depend on it."""
+    monkeypatch.setattr(E, "_SLICE_BYTES", 100)
+    array = pa.array(["x" * 30, None, ""] * 50)
+    parts = list(E._slices(array))
+    assert len(parts) > 10 and pa.concat_arrays(parts) == array and max(p.nbytes for p in parts) < 300
+    assert E._CACHE_WORDS <= 150_000
+
+
+def test_decode_leaves_out_what_is_no_token(spark, trained):
+    ours = trained[0]
+    rows = [([7, None, 8],), ([-1, 7, 99_999, 8],), (None,), ([],), ([1, 7, 8, 2],)]
+    got = [r.t for r in spark.createDataFrame(rows, "ids array<int>").select(E.decode(F.col("ids"), ours).alias("t")).collect()]
+    one = ours.tokens[7] + ours.tokens[8]
+    assert got == [one, one, None, "", one]
+
+
 def test_counts_beyond_those_followed(spark, trained, docs, monkeypatch):
     """With few pairs followed, and a small index, training counts anew and merges the same."""
     monkeypatch.setattr(V, "FOLLOWED_PAIRS", 12)
