@@ -232,6 +232,28 @@ def test_dictionary_of_200_000_entries(spark):
     assert alone == got
 
 
+@pytest.mark.parametrize("sent", [40, 5_000])
+def test_a_large_dictionary_stays_a_table(spark, monkeypatch, sent):
+    """Workers get only entries that stand in a text, or, where these are many, each text the entries in it."""
+    import random
+
+    from textmill.operators import convert as K
+
+    loaded = []
+    monkeypatch.setattr(K, "SENT_ENTRIES", sent)
+    monkeypatch.setattr(K, "MAX_BYTES", 20_000)  # far less than the whole table has
+    monkeypatch.setattr(K, "load_dictionary", lambda table, load=K.load_dictionary: loaded.append(load(table)) or loaded[-1])
+    turn = random.Random(8)
+    small = {"".join(turn.choice("abcdé\U0001F600") for _ in range(turn.randint(1, 6))): f"<{i}>" for i in range(300)}
+    texts = ["", None, "abcdé" * 20, "é", "no entry: xyz", "xyz"] + ["".join(turn.choice("abcdéxy \U0001F600") for _ in range(80)) for _ in range(40)]
+    large = spark.range(20_000).selectExpr("concat(array('a', 'é', '\u0001')[id % 3], '#', id) src", "'never' dst")
+    table = large.unionByName(spark.createDataFrame([*small.items(), *((s, "~later") for s in small), (None, "x"), ("b", None), ("", "y")], "src string, dst string"))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts) for _ in range(2)], "_row int, t string").repartition(3)
+    got = [tuple(r) for r in K.convert(df, "t", table).orderBy("_row").collect()]
+    assert got == [(i, None if t is None else leftmost_longest(t, small)) for i, t in enumerate(texts) for _ in range(2)]
+    assert [len(d) <= len(small) for d in loaded] == [True] * (sent == 5_000)
+
+
 VALUES = ['{"a": 1}', "[true, null]", '{"b": {"c": [1.5, "x\'y", {}]}}', "-0.0", "0.0", "-0", "-0e5", '"-0.0"', "null", "12345678901234567890123"]
 
 
