@@ -310,3 +310,18 @@ def test_line_dedup_of_a_frequent_block_beside_a_rare_line(spark):
     repeats.without_repeats, line_dedup.without_common_blocks])
 def test_empty_table(spark, run):
     assert run(plain.table(spark, [])).collect() == []
+
+
+def test_near_copies_go_to_python_in_small_batches(spark, monkeypatch):
+    """A batch of texts or whole sets has a bounded number of rows, and the session's setting is as before."""
+    from textmill.llm import near_dedup
+    from textmill.workspace import SMALL_BATCH
+
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    staged = near_dedup.stage
+    monkeypatch.setattr(near_dedup, "stage", lambda df, name: seen.append((name, int(spark.conf.get(key)))) or staged(df, name))
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i j k l m n o p q r s t {i // 2}") for i in range(8)], "doc_id long, text string")
+    assert near_dedup.near_copies(docs).where("kept").count() >= 1
+    assert {"signatures", "sets", "links"} <= {name for name, _ in seen} and all(0 < rows <= SMALL_BATCH for _, rows in seen)
+    assert spark.conf.get(key) == before
