@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -175,6 +176,17 @@ def test_slots_are_not_shuffled(spark, docs, bpe):
     assert "hashpartitioning(block" not in plan and "Bucketed: true" in plan
 
 
+def test_blocks_are_put_together_in_little_memory():
+    """What ``taken`` holds on the way, besides the three values of each place: numpy reports its arrays to tracemalloc."""
+    values, offsets, at = np.arange(3000, dtype=np.int32), np.arange(0, 3001, 3), np.arange(1 << 20) % 1000
+    tracemalloc.start()
+    got = byte_bpe.taken(values, offsets, at)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got.reshape(-1, 3) == at[:, None] * 3 + np.arange(3)).all()
+    assert peak < 36 * len(at)
+
+
 def test_decoding_of_odd_ids(spark, bpe):
     ranks, _, library = bpe
     rows = spark.createDataFrame([(1, [0, None, 5]), (2, None), (3, []), (4, [-1, 10**6, 7])], "decoded int, ids array<int>")
