@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,26 @@ def test_pieces_equal_the_library(docs):
         assert pieces.decode(v, ids) == library.decode(ids.tolist())
 
 
+def test_pieces_are_found_in_groups_of_bounded_size(monkeypatch):
+    """However long the texts are: few are taken at once, and few of their parts are solved at once."""
+    v = pieces.load(tokenizer_path(PIECES))
+    texts = [" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(12)] + [None, "", "tail"]
+    want = [pieces.Encoder(v).encode([t])[0] for t in texts]
+    solved, taken, solve = [], [], pieces.best_cuts
+
+    def counted(v, parts):
+        solved.append(sum(map(len, parts)))
+        return solve(v, parts)
+
+    monkeypatch.setattr(pieces, "best_cuts", counted)
+    got = []
+    for group in pieces._encoded(pa.array(texts, pa.string()), pieces.Encoder(v)):
+        got += group
+        taken.append(sum(len(t or "") for t in texts[len(got) - len(group) : len(got)]))
+    assert got == want
+    assert max(taken) <= 1 << 20 and max(solved) <= 1 << 18
+
+
 def test_decoding_of_broken_bytes():
     v = pieces.load(tokenizer_path(PIECES))
     assert pieces.decode(v, np.array([v.byte_id[0xE2], v.byte_id[0x82]])) == "�"
