@@ -117,6 +117,27 @@ def test_mixed_documents_are_runs_of_words(spark):
     assert {i: n for i, n in taken.items() if n} == words
 
 
+def broadcast_joins(df) -> list:
+    """The broadcast joins of the plan that ran."""
+    df.collect()
+    ran = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in ran
+    return [line for line in ran.splitlines() if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+
+
+def test_blocks_and_texts_are_not_broadcast(spark):
+    """What grows with the words must not go through the driver, however few ranges of slots it is made from."""
+    few = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"),
+                                 F.repeat(F.lit("word "), 2000).alias("text"))
+    for rows, sides in ((mixing.mixed_documents(few, block_words=2), ("block#", "_row#")), (mixing.taken_words(few, block_words=2), ("block#",))):
+        assert not [line for line in broadcast_joins(rows) if any(x in line for x in sides)]
+
+
+def test_slots_drawn_anew_are_not_broadcast(spark):
+    sources = spark.createDataFrame([(i, 30) for i in range(1, 101)], "s int, quota long")
+    assert not [line for line in broadcast_joins(mixing.shard_counts(sources, 3000, 42, 100)) if "[x#" in line]
+
+
 def plain_top(vectors: list, is_query, k: int = 10) -> Counter:
     """Of every row that is a query, its k best among all other rows, those that repeat its id included."""
     whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors]
